@@ -26,6 +26,7 @@ def read_malware_csv(spark: SparkSession, path: str, ds: str, columns: int | Non
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     # The feed quotes its fields and doubles quotes inside them.
     raw = reader.schema(schema).option("escape", '"').csv(path)
+    raw = raw.select(*[F.nullif(n, F.lit("")).alias(n) for n in names])
     if width < len(MALWARE_COLUMNS):
         return guess_layout(raw, ds)
     named = raw.select(*[F.col(old).alias(new) for old, new in zip(names, MALWARE_COLUMNS)])

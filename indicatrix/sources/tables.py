@@ -57,10 +57,14 @@ def latest_run(df: DataFrame, run: str) -> DataFrame:
 # -- writes -------------------------------------------------------------------
 
 
-def write_day(df: DataFrame, path: str, ds: str) -> None:
-    """Replace the partition ``ds`` and leave all others alone."""
+def write_days(df: DataFrame, path: str) -> None:
+    """Replace the partitions that ``df`` holds and leave all others alone.
+
+    The rebalance gathers the rows of a small day into one file and splits a
+    large day over several tasks.
+    """
     (
-        df.withColumn(PARTITION, F.lit(ds).cast("date"))
+        df.hint("rebalance", PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
@@ -68,6 +72,10 @@ def write_day(df: DataFrame, path: str, ds: str) -> None:
     )
 
 
+def write_day(df: DataFrame, path: str, ds: str) -> None:
+    write_days(df.withColumn(PARTITION, F.lit(ds).cast("date")), path)
+
+
 def day_exists(spark: SparkSession, path: str, ds: str) -> bool:
     return path_exists(spark, f"{path}/{PARTITION}={ds}")
 
