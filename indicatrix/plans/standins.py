@@ -172,11 +172,14 @@ class Tables:
     def stream_event(self) -> DataFrame:
         return self.as_messages(self.events)
 
-    def message_stream(self) -> DataFrame:
-        """The same texts as a stream over the table's files."""
+    def event_stream(self) -> DataFrame:
+        """The event table's files as a stream; the pattern fits a file and a folder alike."""
         schema = self.spark.read.parquet(self.path("events")).schema
-        stream = self.spark.readStream.schema(schema).parquet(self.path("events"))
-        return self.as_messages(stream)
+        return self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/events.parque[t]")
+
+    def message_stream(self) -> DataFrame:
+        """The same texts as a stream."""
+        return self.as_messages(self.event_stream())
 
     @cached_property
     def scored(self) -> DataFrame:
