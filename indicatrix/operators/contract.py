@@ -26,30 +26,35 @@ EVENT_CONTRACT = {
 }
 
 
+# JSON type names -> how a variant's schema text names them.
+VARIANT_KINDS = {"string": "STRING", "null": "VOID", "boolean": "BOOLEAN", "integer": "BIGINT"}
+
+
 def document(value: Column) -> Column:
     """The text as a variant; NULL where it is no JSON."""
     return F.try_parse_json(F.nullif(F.trim(value), F.lit("")))
 
 
-def json_type(doc: Column, path: str = "$") -> Column:
-    """JSON type name at a path; NULL where the path is absent."""
-    kind = F.schema_of_variant(doc if path == "$" else F.try_variant_get(doc, path, "variant"))
-    return (
-        F.when(kind == "VOID", "null")
-        .when(kind == "STRING", "string")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(F.startswith(kind, F.lit("OBJECT")), "object")
-        .when(F.startswith(kind, F.lit("ARRAY")), "array")
-        .when(kind == "BIGINT", "integer")
-        .when(kind.isNotNull(), "number")
-    )
+def _of_type(kind: Column, wanted: str | list[str]) -> Column:
+    """Does a variant's schema text name one of the JSON types?"""
+    names = [wanted] if isinstance(wanted, str) else wanted
+    simple = [VARIANT_KINDS[n] for n in names if n in VARIANT_KINDS]
+    found = kind.isin(*simple) if simple else F.lit(False)
+    if "object" in names:
+        found = found | F.startswith(kind, F.lit("OBJECT"))
+    if "array" in names:
+        found = found | F.startswith(kind, F.lit("ARRAY"))
+    if "number" in names:
+        found = found | kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return found
 
 
-def _type_holds(found: Column, wanted: str | list[str]) -> Column:
+def _root_is(value: Column, wanted: str | list[str]) -> Column:
+    """Type of a whole document by its first character, which is cheap and enough for valid JSON."""
     names = [wanted] if isinstance(wanted, str) else wanted
-    if "number" in names:
-        names = [*names, "integer"]
-    return found.isin(*names)
+    marks = {"object": "{", "array": "[", "string": '"', "null": "n", "boolean": "tf", "number": "-0123456789"}
+    first = F.substring(F.trim(value), 1, 1)
+    return first.isin(*[c for n in names for c in marks["number" if n == "integer" else n]])
 
 
 def _violation(path: str, message: Column | str) -> Column:
@@ -62,55 +67,63 @@ def _type_text(wanted: str | list[str]) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
-def contract_reason(value: Column, doc: Column, contract: dict = EVENT_CONTRACT) -> Column:
+def _reason(value: Column, doc: Column, fields: dict[str, Column], kinds: dict[str, Column], rules: dict) -> Column:
     """The first rule the text breaks, or NULL.
 
     Rules are tried in the contract's order: root type, required fields, then
     per property its type and its least length. Formats are not asserted.
     """
     checks = [F.when(doc.isNull(), F.lit("json_decode_error:not a JSON document"))]
-    root = json_type(doc)
-    if "type" in contract:
-        bad = F.concat(F.to_json(doc), F.lit(f" is not of type {_type_text(contract['type'])}"))
-        checks.append(F.when(~_type_holds(root, contract["type"]), _violation("<root>", bad)))
-    for name in contract.get("required", []):
-        missing = (root == "object") & json_type(doc, f"$.{name}").isNull()
+    is_object = _root_is(value, "object")
+    if "type" in rules:
+        bad = F.concat(F.to_json(doc), F.lit(f" is not of type {_type_text(rules['type'])}"))
+        checks.append(F.when(~_root_is(value, rules["type"]), _violation("<root>", bad)))
+    for name in rules.get("required", []):
+        missing = is_object & kinds[name].isNull()
         checks.append(F.when(missing, _violation("<root>", f"'{name}' is a required property")))
-    for name, rule in contract.get("properties", {}).items():
-        path = f"$.{name}"
-        found = json_type(doc, path)
+    for name, rule in rules.get("properties", {}).items():
         if "type" in rule:
-            shown = F.to_json(F.try_variant_get(doc, path, "variant"))
-            bad = F.concat(shown, F.lit(f" is not of type {_type_text(rule['type'])}"))
-            checks.append(F.when(~_type_holds(found, rule["type"]), _violation(name, bad)))
+            bad = F.concat(F.to_json(fields[name]), F.lit(f" is not of type {_type_text(rule['type'])}"))
+            checks.append(F.when(~_of_type(kinds[name], rule["type"]), _violation(name, bad)))
         if "minLength" in rule:
-            short = (found == "string") & (F.length(F.try_variant_get(doc, path, "string")) < rule["minLength"])
-            text = "'' should be non-empty" if rule["minLength"] == 1 else "is too short"
-            checks.append(F.when(short, _violation(name, text)))
+            text = F.try_variant_get(fields[name], "$", "string")
+            short = (kinds[name] == "STRING") & (F.length(text) < rule["minLength"])
+            message = "'' should be non-empty" if rule["minLength"] == 1 else "is too short"
+            checks.append(F.when(short, _violation(name, message)))
     return F.coalesce(*checks)
 
 
+def _with_event(df: DataFrame, reason: Column) -> DataFrame:
+    return df.withColumn("reason", reason).withColumn("event", F.from_json("value", schemas.EVENT_JSON))
+
+
 def parse(df: DataFrame) -> DataFrame:
     """Add the reason a message cannot be parsed (NULL for JSON objects) and its fields.
 
     ``from_json`` gives a row of NULLs, not NULL, for broken text, so the split
     rests on the parsed document.
     """
-    doc = document(F.col("value"))
-    broken = F.coalesce(json_type(doc) != "object", F.lit(True))
-    return df.withColumn("reason", F.when(broken, PARSE_FAILED)).withColumn(
-        "event", F.from_json("value", schemas.EVENT_JSON)
-    )
+    value = F.col("value")
+    good = document(value).isNotNull() & _root_is(value, "object")
+    return _with_event(df, F.when(~F.coalesce(good, F.lit(False)), PARSE_FAILED))
 
 
 def validate(df: DataFrame, contract: dict = EVENT_CONTRACT) -> DataFrame:
-    """As ``parse``, but the reason is the first broken contract rule."""
-    return (
+    """As ``parse``, but the reason is the first broken contract rule.
+
+    The document, its fields and their types are columns of their own, so each
+    is worked out once per row however many rules look at it.
+    """
+    names = list(dict.fromkeys([*contract.get("required", []), *contract.get("properties", {})]))
+    doc, fields = F.col("_doc"), {n: F.col(f"_field_{n}") for n in names}
+    kinds = {n: F.col(f"_kind_{n}") for n in names}
+    out = (
         df.withColumn("_doc", document(F.col("value")))
-        .withColumn("reason", contract_reason(F.col("value"), F.col("_doc"), contract))
-        .drop("_doc")
-        .withColumn("event", F.from_json("value", schemas.EVENT_JSON))
+        .withColumns({f"_field_{n}": F.try_variant_get(doc, f"$.{n}", "variant") for n in names})
+        .withColumns({f"_kind_{n}": F.schema_of_variant(fields[n]) for n in names})
     )
+    found = _with_event(out, _reason(F.col("value"), doc, fields, kinds, contract))
+    return found.drop("_doc", *[f"_field_{n}" for n in names], *[f"_kind_{n}" for n in names])
 
 
 def good_events(parsed: DataFrame, ingest_ts: Column | None = None) -> DataFrame:

@@ -21,26 +21,34 @@ def _sample(column: str) -> Column:
 
 
 def _address_summary(rows: DataFrame, key: str, has_ipv6: Column, more: list[Column]) -> DataFrame:
-    return rows.groupBy(F.col(key).alias("registered_domain")).agg(
+    """Counts and samples per domain, each in an aggregation of its own.
+
+    Distinct counts copy every row per counted column. Samples need sorted
+    aggregation, which is cheap on the plain rows but not on the copies. Both
+    read the same shuffled rows and meet on the partitioning they share.
+    """
+    distinct = rows.distinct()
+    domain = F.col(key).alias("registered_domain")
+    counts = distinct.groupBy(domain).agg(
         F.countDistinct("ip").alias("num_unique_ips"),
         has_ipv6.alias("has_ipv6"),
         F.countDistinct("country").alias("num_countries"),
         F.countDistinct("asn").alias("num_asns"),
-        _sample("asn"),
-        _sample("isp"),
-        _sample("country"),
         *more,
     )
+    samples = distinct.groupBy(domain).agg(_sample("asn"), _sample("isp"), _sample("country"))
+    extra = counts.columns[5:]
+    return counts.join(samples, "registered_domain").select(
+        "registered_domain", *DNS_FEATURES, "sample_asn", "sample_isp", "sample_country", *extra
+    )
 
 
 def dns_summary(dns: DataFrame, key: str = "puny_domain", flag: str | None = None) -> DataFrame:
     """Address facts per domain; ``flag`` names a boolean column to carry as "any".
 
-    Daily snapshots repeat their rows, so these are made distinct before the
-    distinct counts, which would otherwise copy every row per counted column.
+    Daily snapshots repeat their rows, so these are made distinct first.
     """
-    columns = [key, "ip", "family", "country", "asn", "isp", *([flag] if flag else [])]
-    rows = dns.select(*columns).distinct()
+    rows = dns.select(key, "ip", "family", "country", "asn", "isp", *([flag] if flag else []))
     has_ipv6 = F.coalesce(F.max((F.col("family") == 6).cast("int")), F.lit(0))
     more = [F.coalesce(F.bool_or(flag), F.lit(False)).alias(flag)] if flag else []
     return _address_summary(rows, key, has_ipv6, more)
@@ -51,7 +59,7 @@ def ct_summary(resolved: DataFrame, base: DataFrame) -> DataFrame:
 
     ``resolved`` has a NULL address for a domain without one; such domains count 0.
     """
-    rows = resolved.select("registered_domain", "ip", "country", "asn", F.col("asname").alias("isp")).distinct()
+    rows = resolved.select("registered_domain", "ip", "country", "asn", F.col("asname").alias("isp"))
     facts = _address_summary(rows, "registered_domain", F.max(ipv6_flag(F.col("ip"))), [])
     sample = picks.first_ct(base).select(
         "registered_domain", F.col("domain").alias("domain_sample"), "event_ts", "source"

@@ -21,29 +21,34 @@ def with_group_keys(rows: DataFrame) -> DataFrame:
     """Add the derived keys that the label risk report groups by."""
     name = F.coalesce("registered_domain", F.lit(""))
     lexical = text.lexical_features(name)
-    return rows.withColumns(
+    # Measures first, classes next: a class looks at its measure several times.
+    measured = rows.withColumns({"_digit_ratio": lexical["digit_ratio"], "_entropy": lexical["entropy"]})
+    return measured.withColumns(
         {
             "tld": text.last_label(name, ""),
             "age_bucket": buckets.age_bucket(F.col("age_days")),
             "ip_bucket": buckets.ip_count_bucket(F.col("num_unique_ips"), "ips:none"),
             "len_bucket": buckets.length_bucket(F.length(name)),
-            "digit_bucket": buckets.digit_bucket(lexical["digit_ratio"]),
-            "entropy_bucket": buckets.entropy_bucket(text.entropy(name)),
+            "digit_bucket": buckets.digit_bucket(F.col("_digit_ratio")),
+            "entropy_bucket": buckets.entropy_bucket(F.col("_entropy")),
         }
-    )
+    ).drop("_digit_ratio", "_entropy")
 
 
 def label_risk(rows: DataFrame, key: str, min_count: int = 20, top: int = 20) -> DataFrame:
-    """Share of malicious rows per key value; rows without a key do not count."""
+    """Share of malicious rows per key value; rows without a key do not count.
+
+    Counting the key leaves those rows at 0. A filter on the key would move
+    below the joins and work the key out for every raw row.
+    """
     groups = (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("count"), F.sum("label").cast("bigint").alias("phish"))
+        rows.groupBy(key)
+        .agg(F.count(key).alias("count"), F.sum("label").cast("bigint").alias("phish"))
         .withColumn("benign", F.col("count") - F.col("phish"))
-        .withColumn("phish_rate", F.col("phish") / F.col("count"))
+        .withColumn("phish_rate", F.try_divide("phish", "count"))
     )
     order = [F.col("phish_rate").desc(), F.col("count").desc(), F.col(key)]
-    return groups.filter(F.col("count") >= min_count).orderBy(*order).limit(top)
+    return groups.filter(F.col("count") >= max(min_count, 1)).orderBy(*order).limit(top)
 
 
 def label_risk_all(rows: DataFrame, keys: list[str], min_count: int = 30) -> DataFrame:
@@ -67,17 +72,16 @@ def _pct_high(score: str) -> Column:
 
 def score_risk(rows: DataFrame, key: str, score: str = "score", min_count: int = 20, top: int = 30) -> DataFrame:
     groups = (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        rows.groupBy(key)
         .agg(
-            F.count("*").alias("count"),
+            F.count(key).alias("count"),
             F.avg(score).alias("avg_score"),
             F.max(score).alias("max_score"),
             _pct_high(score),
         )
     )
     order = [F.col("pct_high").desc(), F.col("avg_score").desc(), F.col(key)]
-    return groups.filter(F.col("count") >= min_count).orderBy(*order).limit(top)
+    return groups.filter(F.col("count") >= max(min_count, 1)).orderBy(*order).limit(top)
 
 
 def score_by_ip_count(rows: DataFrame, score: str = "score") -> DataFrame:

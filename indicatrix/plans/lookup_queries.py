@@ -219,7 +219,8 @@ def f4_country_risk(t: Tables):
     "f4_entropy_risk",
     """WITH e AS (SELECT registered_domain, label, -sum(k * 1.0 / size * log2(k * 1.0 / size)) AS bits
       FROM (SELECT registered_domain, label, length(registered_domain) AS size, ch, count(*) AS k
-        FROM (SELECT registered_domain, label, unnest(string_split(registered_domain, '')) AS ch FROM feature_row) GROUP BY ALL) GROUP BY registered_domain, label)
+        FROM (SELECT registered_domain, CASE WHEN source = 'benign_seed' THEN 0 ELSE 1 END AS label,
+          unnest(string_split(registered_domain, '')) AS ch FROM label_pick) GROUP BY ALL) GROUP BY registered_domain, label)
     SELECT CASE WHEN bits <= 2.5 THEN 'entropy:low' WHEN bits <= 3.5 THEN 'entropy:med' ELSE 'entropy:high' END AS entropy_bucket, count(*) AS count,
       CAST(sum(label) AS BIGINT) AS phish, CAST(count(*) - sum(label) AS BIGINT) AS benign, round(avg(label), 9) AS phish_rate
     FROM e GROUP BY 1 HAVING count(*) >= 30""",

@@ -26,11 +26,13 @@ def _text(doc: Column, *paths: str) -> Column:
     return F.coalesce(*found) if len(found) > 1 else found[0]
 
 
-def _items(doc: Column, *paths: str) -> Column:
-    """The first non-empty list among the paths, as variants; an empty list if there is none."""
-    lists = [F.try_variant_get(doc, p, "array<variant>") for p in paths]
-    filled = [F.when(F.size(x) > 0, x) for x in lists]
-    return F.coalesce(*filled, F.array().cast("array<variant>"))
+def _items(doc: Column, path: str, other: str | None = None) -> Column:
+    """The list at a path as variants, else at the other path; empty where there is none."""
+    empty = F.array().cast("array<variant>")
+    found = F.try_variant_get(doc, path, "array<variant>")
+    if other is None:
+        return F.coalesce(found, empty)
+    return F.when(F.size(found) > 0, found).otherwise(F.coalesce(F.try_variant_get(doc, other, "array<variant>"), empty))
 
 
 def _is_string(doc: Column) -> Column:
@@ -181,18 +183,18 @@ def whois_rows(responses: DataFrame) -> DataFrame:
     """WHOIS rows out of landed responses (domain, http_status, body, error, fetched_at)."""
     parsed = responses.withColumn("_doc", document(F.col("body")))
     d = F.col("_doc")
+    # Entities with the role and a card of the two parts that cards have.
     is_registrar = F.filter(
         _items(d, "$.entities"),
-        lambda e: F.array_contains(F.coalesce(F.try_variant_get(e, "$.roles", "array<string>"), F.array()), "registrar"),
+        lambda e: F.array_contains(F.coalesce(F.try_variant_get(e, "$.roles", "array<string>"), F.array()), "registrar")
+        & (F.size(_items(e, "$.vcardArray")) == 2),
     )
     full_names = F.flatten(
         F.transform(
             is_registrar,
             lambda e: F.transform(
                 F.filter(
-                    F.when(F.size(_items(e, "$.vcardArray")) == 2, _items(e, "$.vcardArray[1]")).otherwise(
-                        F.array().cast("array<variant>")
-                    ),
+                    _items(e, "$.vcardArray[1]"),
                     lambda item: F.try_variant_get(item, "$[0]", "string") == "fn",
                 ),
                 lambda item: F.try_variant_get(item, "$[3]", "string"),
@@ -204,7 +206,8 @@ def whois_rows(responses: DataFrame) -> DataFrame:
         events = F.filter(
             _items(d, "$.events"), lambda e: F.try_variant_get(e, "$.eventAction", "string").isin(*actions)
         )
-        return F.try_to_timestamp(F.try_variant_get(F.get(events, F.size(events) - 1), "$.eventDate", "string"))
+        last = F.try_element_at(events, F.lit(-1))
+        return F.try_to_timestamp(F.try_variant_get(last, "$.eventDate", "string"))
 
     failure = F.when(F.col("error").isNotNull(), F.col("error")).when(
         F.col("http_status") >= 400, F.concat(F.lit("http status "), F.col("http_status").cast("string"))
