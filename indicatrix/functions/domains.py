@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from indicatrix.functions.ip import is_ipv4
-from indicatrix.functions.text import indicator_host
+from indicatrix.functions.text import count_of, indicator_host
 
 # The suffix list that ships with Spark's own HTTP client jar.
 SUFFIX_RESOURCE = "mozilla/public-suffix-list.txt"
 PRIVATE_SECTION = "// ===END ICANN DOMAINS==="
+# A name that needs no tidying and is no address: those end in a digit.
+CLEAN_NAME = r"^[a-z0-9_.\-]*[a-z]$"
 # Upper bound that proves the rule table small enough to broadcast.
 MAX_RULES = 50_000
 
@@ -84,10 +86,12 @@ def with_registered_domain(
     are never shuffled.
     """
     rules, longest = suffix_rules(df.sparkSession, private)
-    host = F.translate(indicator_host(F.col(name)), "。．｡", "...")
-    # Addresses match no suffix rule.
-    out = df.withColumn("_host", F.when(is_ipv4(host), "").otherwise(F.coalesce(host, F.lit(""))))
-    out = out.withColumn("_labels", F.size(F.split("_host", r"\.")))
+    text = F.col(name)
+    host = F.translate(indicator_host(text), "。．｡", "...")
+    # Addresses match no suffix rule. Clean lower-case names, the bulk, are taken as they are.
+    untidy = F.when(is_ipv4(host), "").otherwise(F.coalesce(host, F.lit("")))
+    out = df.withColumn("_host", F.when(text.rlike(CLEAN_NAME), text).otherwise(untidy))
+    out = out.withColumn("_labels", count_of(F.col("_host"), ".") + 1)
     plain, wildcard, exception = [], [], []
     for k in range(1, longest + 1):
         tail = F.when(F.col("_labels") >= k, F.substring_index("_host", ".", -k))
