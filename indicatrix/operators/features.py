@@ -20,47 +20,48 @@ def _sample(column: str) -> Column:
     return F.min(F.when(F.col(column).isNotNull(), pair))[column].alias(f"sample_{column}")
 
 
-def _address_summary(rows: DataFrame, key: str, has_ipv6: Column, more: list[Column]) -> DataFrame:
-    """Counts and samples per domain, each in an aggregation of its own.
+def distinct_addresses(dns: DataFrame, key: str = "puny_domain") -> DataFrame:
+    """The columns the summaries read, without the repeats that daily snapshots bring."""
+    domain = F.col(key).alias("registered_domain")
+    return dns.select(domain, "ip", "family", "country", "asn", "isp").distinct()
+
+
+def address_summary(rows: DataFrame, flag: str | None = None) -> DataFrame:
+    """Address facts per domain out of distinct rows; ``flag`` names a boolean column to carry as "any".
 
     Distinct counts copy every row per counted column. Samples need sorted
-    aggregation, which is cheap on the plain rows but not on the copies. Both
-    read the same shuffled rows and meet on the partitioning they share.
+    aggregation, which is cheap on the plain rows but not on the copies. So each
+    has an aggregation of its own; both read the same shuffled rows and meet on
+    the partitioning they share.
     """
-    distinct = rows.distinct()
-    domain = F.col(key).alias("registered_domain")
-    counts = distinct.groupBy(domain).agg(
+    flags = [F.coalesce(F.bool_or(flag), F.lit(False)).alias(flag)] if flag else []
+    counts = rows.groupBy("registered_domain").agg(
         F.countDistinct("ip").alias("num_unique_ips"),
-        has_ipv6.alias("has_ipv6"),
+        F.coalesce(F.max((F.col("family") == 6).cast("int")), F.lit(0)).alias("has_ipv6"),
         F.countDistinct("country").alias("num_countries"),
         F.countDistinct("asn").alias("num_asns"),
-        *more,
+        *flags,
     )
-    samples = distinct.groupBy(domain).agg(_sample("asn"), _sample("isp"), _sample("country"))
-    extra = counts.columns[5:]
+    samples = rows.groupBy("registered_domain").agg(_sample("asn"), _sample("isp"), _sample("country"))
     return counts.join(samples, "registered_domain").select(
-        "registered_domain", *DNS_FEATURES, "sample_asn", "sample_isp", "sample_country", *extra
+        "registered_domain", *DNS_FEATURES, "sample_asn", "sample_isp", "sample_country", *([flag] if flag else [])
     )
 
 
-def dns_summary(dns: DataFrame, key: str = "puny_domain", flag: str | None = None) -> DataFrame:
-    """Address facts per domain; ``flag`` names a boolean column to carry as "any".
-
-    Daily snapshots repeat their rows, so these are made distinct first.
-    """
-    rows = dns.select(key, "ip", "family", "country", "asn", "isp", *([flag] if flag else []))
-    has_ipv6 = F.coalesce(F.max((F.col("family") == 6).cast("int")), F.lit(0))
-    more = [F.coalesce(F.bool_or(flag), F.lit(False)).alias(flag)] if flag else []
-    return _address_summary(rows, key, has_ipv6, more)
+def dns_summary(dns: DataFrame, key: str = "puny_domain") -> DataFrame:
+    """Address facts per domain."""
+    return address_summary(distinct_addresses(dns, key))
 
 
 def ct_summary(resolved: DataFrame, base: DataFrame) -> DataFrame:
     """Address facts per certificate domain, with one original name per domain.
 
-    ``resolved`` has a NULL address for a domain without one; such domains count 0.
+    ``resolved`` has a NULL address for a domain without one; such domains count
+    0. The address family is read off the address text.
     """
-    rows = resolved.select("registered_domain", "ip", "country", "asn", F.col("asname").alias("isp"))
-    facts = _address_summary(rows, "registered_domain", F.max(ipv6_flag(F.col("ip"))), [])
+    family = F.when(ipv6_flag(F.col("ip")) == 1, 6)
+    rows = resolved.withColumns({"family": family, "isp": F.col("asname")})
+    facts = address_summary(distinct_addresses(rows, "registered_domain"))
     sample = picks.first_ct(base).select(
         "registered_domain", F.col("domain").alias("domain_sample"), "event_ts", "source"
     )

@@ -35,15 +35,11 @@ def assemble(rows: DataFrame) -> DataFrame:
 def scored_rows(
     labels: DataFrame, dns: DataFrame, whois: DataFrame, attrs: DataFrame, now: Column
 ) -> DataFrame:
-    """Feature rows with list matches, ready for scoring.
-
-    Each row's address is checked against the list before the one aggregation
-    that yields both the address facts and the overlap flag.
-    """
-    marked = matches.mark_listed_ips(dns, matches.listed_ips(attrs))
+    """Feature rows with list matches, ready for scoring."""
+    addresses = matches.dns_summary_with_overlap(dns, matches.listed_ips(attrs))
     rows = (
         features.label_rows(labels)
-        .join(features.dns_summary(marked, flag="matched_misp_ip"), "registered_domain", "left")
+        .join(addresses, "registered_domain", "left")
         .join(features.whois_rows(whois, now), "registered_domain", "left")
     )
     return matches.with_matches(rows, matches.listed_domains(attrs))

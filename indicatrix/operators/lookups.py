@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from indicatrix import schemas
 from indicatrix.functions.ip import ip_family, ipv4_number
 from indicatrix.operators import picks
+from indicatrix.operators.skew import lookup_join
 
 PAIR = ["puny_domain", "ip"]
 
 
 def missing_pairs(pairs: DataFrame, cache: DataFrame) -> DataFrame:
-    """Resolved (domain, address) pairs that the cache does not hold."""
-    return pairs.select(*PAIR).distinct().join(cache.select(*PAIR), PAIR, "left_anti")
+    """Resolved (domain, address) pairs that the cache does not hold.
+
+    Both sides are distinct, so no key holds more than one row.
+    """
+    return pairs.select(*PAIR).distinct().join(cache.select(*PAIR).distinct(), PAIR, "left_anti")
 
 
 def refresh_list(
@@ -31,15 +35,18 @@ def refresh_list(
 
 
 def daily_snapshot(cache: DataFrame, domains: DataFrame, key: str) -> DataFrame:
-    """The cache rows of today's domains."""
-    return cache.join(domains.select(key).distinct(), key, "left_semi")
+    """The cache rows of today's domains. A domain may have very many addresses."""
+    return lookup_join(cache, domains.select(key).distinct(), key, "left_semi")
 
 
 def attach_geo(pairs: DataFrame, geo: DataFrame) -> DataFrame:
-    """Pairs with address family and the geo attributes of their address."""
+    """Pairs with address family and the geo attributes of their address.
+
+    Very many domains may share an address.
+    """
     by_ip = picks.pick_one(schemas.conform(geo, schemas.GEO), ["ip"], ["country", "asn"])
     rows = pairs.select(*PAIR).distinct().withColumn("family", ip_family(F.col("ip")))
-    return schemas.conform(rows.join(by_ip, "ip", "left"), schemas.DNS_GEO)
+    return schemas.conform(lookup_join(rows, by_ip, "ip"), schemas.DNS_GEO)
 
 
 def upsert_geo(cache: DataFrame, new: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from indicatrix.functions.buckets import risk_level, threat_type
 from indicatrix.functions.domains import with_registered_domain
 from indicatrix.functions.text import strip
-from indicatrix.operators import picks
+from indicatrix.operators import features, picks
 from indicatrix.operators.layers import ADDRESS_TYPES, NAME_TYPES, of_type
+from indicatrix.operators.skew import is_small, lookup_join
 
 # How an override is named in the published table.
 LIST_SOURCE = "misp_osint"
@@ -27,14 +28,15 @@ def listed_ips(attrs: DataFrame) -> DataFrame:
     return of_type(attrs, *ADDRESS_TYPES).select(strip(F.col("indicator")).alias("ip")).distinct()
 
 
-def mark_listed_ips(dns: DataFrame, ips: DataFrame, flag: str = "matched_misp_ip") -> DataFrame:
-    """Add whether each row's address is on the list.
+def mark_listed_ips(rows: DataFrame, ips: DataFrame, flag: str = "matched_misp_ip") -> DataFrame:
+    """Add whether each row's address is on the list. Pass distinct rows.
 
-    The list is joined without a hint: Spark broadcasts it while it is measured
-    to be small and otherwise sorts and splits skewed addresses.
+    A short list, by count, is broadcast; a long one is joined with hot
+    addresses spread.
     """
     marks = ips.select("ip").distinct().withColumn(flag, F.lit(True))
-    return dns.join(marks, "ip", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    joined = lookup_join(rows, marks, "ip", small=is_small(marks))
+    return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def overlap_flags(dns: DataFrame, ips: DataFrame) -> DataFrame:
@@ -45,6 +47,12 @@ def overlap_flags(dns: DataFrame, ips: DataFrame) -> DataFrame:
     )
 
 
+def dns_summary_with_overlap(dns: DataFrame, ips: DataFrame) -> DataFrame:
+    """Address facts per domain and the overlap flag, out of the same rows."""
+    marked = mark_listed_ips(features.distinct_addresses(dns), ips)
+    return features.address_summary(marked, flag="matched_misp_ip")
+
+
 def with_matches(rows: DataFrame, listed: DataFrame, overlap: DataFrame | None = None) -> DataFrame:
     """Add ``category`` of a direct match, ``matched_misp_ip`` and the override flag.
 

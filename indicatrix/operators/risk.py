@@ -133,14 +133,19 @@ def score_thresholds(rows: DataFrame, score: str = "score") -> DataFrame:
 
 
 def score_histogram(rows: DataFrame, score: str = "score", bins: int = 50) -> DataFrame:
-    """Equal-width bins between the least and the largest score, the last one closed."""
+    """Equal-width bins between the least and the largest score, the last one closed.
+
+    Where all scores are equal the bins span one unit around them.
+    """
     known = rows.filter(F.col(score).isNotNull()).select(score)
-    limits = known.agg(F.struct(F.min(score).alias("lo"), F.max(score).alias("hi"))).scalar()
-    placed = known.withColumn("_limits", limits)
+    lo, hi = F.min(score), F.max(score)
+    half = F.when(lo == hi, 0.5).otherwise(0.0)
+    limits = known.agg(F.struct((lo - half).alias("lo"), (hi + half).alias("hi"))).scalar()
     width = (F.col("_limits.hi") - F.col("_limits.lo")) / bins
-    step = F.floor((F.col(score) - F.col("_limits.lo")) / F.nullif(width, F.lit(0.0)))
+    step = F.floor((F.col(score) - F.col("_limits.lo")) / width)
     return (
-        placed.withColumn("bin", F.coalesce(F.least(step, F.lit(bins - 1)), F.lit(0)).cast("int"))
+        known.withColumn("_limits", limits)
+        .withColumn("bin", F.least(step, F.lit(bins - 1)).cast("int"))
         .groupBy("bin")
         .agg(F.count("*").alias("count"))
     )

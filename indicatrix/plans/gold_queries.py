@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicatrix.operators import gold, matches, risk, serving
+from indicatrix.operators.skew import lookup_join
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables, now
 from indicatrix.session import materialise
@@ -127,7 +128,7 @@ def f12_statistics(t: Tables):
 
 def _runs(t: Tables):
     run = F.date_format("first_seen", "yyyy-MM").alias("run_date")
-    return t.labels_rd.select(run, "registered_domain").join(t.scored_domain, "registered_domain")
+    return lookup_join(t.labels_rd.select(run, "registered_domain"), t.scored_domain, "registered_domain", "inner")
 
 
 @query(

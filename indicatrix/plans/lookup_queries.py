@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from indicatrix.operators import features, layers, lookups, matches, ordered, quality, risk
+from indicatrix.operators.skew import lookup_join
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables, now
 
@@ -42,8 +43,7 @@ def e1_feature_rows(t: Tables):
     f"SELECT registered_domain, {_DNS_COLUMNS}, matched_misp_ip FROM dns_agg JOIN dns_hit USING (registered_domain)",
 )
 def e2_dns_with_overlap(t: Tables):
-    marked = matches.mark_listed_ips(t.dns_geo, matches.listed_ips(t.misp_attr))
-    return features.dns_summary(marked, flag="matched_misp_ip")
+    return matches.dns_summary_with_overlap(t.dns_geo, matches.listed_ips(t.misp_attr))
 
 
 @query(
@@ -84,7 +84,7 @@ def e6_infrastructure_overlap(t: Tables):
 )
 def e7_list_match(t: Tables):
     rows = t.labels_rd.select("registered_domain", "url", "first_seen")
-    return rows.join(listed(t), "registered_domain", "left")
+    return lookup_join(rows, listed(t), "registered_domain")
 
 
 @query(
