@@ -48,6 +48,10 @@ THREAT_LIST = table(
     galaxies="strings",
     source="string",
 )
+# The published form of the list: list columns are joined text.
+THREAT_LIST_TEXT = T.StructType(
+    [f if f.name not in ("tags", "galaxies") else T.StructField(f.name, T.StringType()) for f in THREAT_LIST.fields]
+)
 GEO = table(
     **_texts("ip", "country", "region", "city"),
     lat="double",
