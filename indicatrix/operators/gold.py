@@ -125,12 +125,11 @@ def statistics(rows: DataFrame, exported: DataFrame) -> DataFrame:
     kinds = [
         "riskDistribution", "threatTypeDistribution", "sourceDistribution", "topCountries", "topRegistrars",
     ]
-    # One row each.
-    one = [d.withColumn("_one", F.lit(1)) for d in (population(rows), totals(exported), maps)]
-    joined = one[0].join(one[1], "_one").join(one[2], "_one")
+    people = population(rows).select(F.struct("*")).scalar()
+    joined = totals(exported).withColumns({"_population": people, "_maps": maps.scalar()})
     return joined.select(
-        "totalSamples", "exportedCount", "maliciousCount", "benignCount", "averageRiskScore", "highRiskCount",
-        F.struct("earliest", "latest").alias("dateRange"),
+        "_population.totalSamples", "exportedCount", "maliciousCount", "benignCount", "averageRiskScore", "highRiskCount",
+        F.struct("_population.earliest", "_population.latest").alias("dateRange"),
         *[F.col("_maps")[k].alias(k) for k in kinds],
     )
 

@@ -110,9 +110,8 @@ def score_summary(rows: DataFrame, score: str = "score") -> DataFrame:
         F.min(score).alias("min"),
         F.max(score).alias("max"),
     )
-    # Two one-row tables side by side.
-    points = exact_quantiles(rows, score, QUANTILES).withColumn("_one", F.lit(1))
-    return moments.withColumn("_one", F.lit(1)).join(points, "_one").drop("_one")
+    points = exact_quantiles(rows, score, QUANTILES).select(F.struct("*")).scalar()
+    return moments.withColumn("_points", points).select(*moments.columns, "_points.*")
 
 
 def score_thresholds(rows: DataFrame, score: str = "score") -> DataFrame:

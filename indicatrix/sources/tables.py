@@ -150,11 +150,10 @@ def run_manifest(
 ) -> DataFrame:
     """One row of counts about a lookup run."""
     counts = {"total_domains": domains, "new_pairs_resolved": new_pairs, "daily_rows": daily, "cache_size": cache}
-    parts = None
-    for name, table in counts.items():
-        part = table.agg(F.count("*").alias(name)).withColumn("_one", F.lit(1))
-        parts = part if parts is None else parts.join(part, "_one")
-    return parts.select(
-        F.lit(job).alias("job"), F.lit(ds).alias("ds"), *counts, F.lit(provider).alias("geo_provider"),
+    return domains.sparkSession.range(1).select(
+        F.lit(job).alias("job"),
+        F.lit(ds).alias("ds"),
+        *[table.agg(F.count("*")).scalar().alias(name) for name, table in counts.items()],
+        F.lit(provider).alias("geo_provider"),
         F.lit(0).cast("bigint").alias("errors"),
     )
