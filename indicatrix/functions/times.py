@@ -12,6 +12,13 @@ def utc_or(text: Column, default: Column | None = None) -> Column:
     return parsed if default is None else F.coalesce(parsed, default)
 
 
+def iso_text(time: Column) -> Column:
+    """Published form of a time in UTC: with its offset, and a fraction where there is one."""
+    whole = F.date_format(time, "yyyy-MM-dd HH:mm:ssxxx")
+    exact = F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
+    return F.when(F.unix_micros(time) % 1_000_000 == 0, whole).otherwise(exact)
+
+
 def seconds_between(later: Column, earlier: Column) -> Column:
     """Seconds with their fraction, rounded to milliseconds."""
     return F.round((F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1e6), 3)

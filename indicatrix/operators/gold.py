@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from indicatrix import schemas
 from indicatrix.functions.buckets import MALICIOUS_FROM, RISK_LEVELS, display_fields
+from indicatrix.functions.times import iso_text
 from indicatrix.operators import features, matches
 
 # Sizes of the published excerpts and limits of the drift alerts.
@@ -24,7 +25,7 @@ def assemble(rows: DataFrame) -> DataFrame:
     out = rows.select(
         "domain",
         F.coalesce("url", F.lit("")).alias("url"),
-        F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss").alias("firstSeen"),
+        iso_text(F.col("first_seen")).alias("firstSeen"),
         F.coalesce(F.col("label").cast("string"), F.lit("unknown")).alias("label"),
         *[value.alias(name) for name, value in published.items() if name != "riskScore"],
         *display,

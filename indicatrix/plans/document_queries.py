@@ -138,7 +138,7 @@ def a19_json_records(t: Tables):
 
 @query(
     "a20_run_manifest",
-    """SELECT 'dns_ip_geo_ingest' AS job, '2024-02-01' AS ds, (SELECT count(DISTINCT domain) FROM label_row) AS total_domains,
+    """SELECT 'dns_ip_geo_ingest' AS dag_id, '2024-02-01' AS ds, '2024-02-01T00:00:00Z' AS generated_at, (SELECT count(DISTINCT domain) FROM label_row) AS total_domains,
       (SELECT count(*) FROM (SELECT DISTINCT puny_domain, ip FROM dns_geo WHERE family = 6)) AS new_pairs_resolved,
       (SELECT count(*) FROM dns_geo WHERE puny_domain IN (SELECT domain FROM label_row)) AS daily_rows,
       (SELECT count(*) FROM dns_geo) AS cache_size, 'ip_api' AS geo_provider, CAST(0 AS BIGINT) AS errors""",
@@ -149,7 +149,9 @@ def a20_run_manifest(t: Tables):
     names = t.label_row.select(F.col("domain").alias("puny_domain")).distinct()
     fresh = lookups.missing_pairs(t.dns_geo, t.dns_geo.filter("family = 4"))
     daily = lookups.daily_snapshot(t.dns_geo, names, "puny_domain")
-    return tables.run_manifest("dns_ip_geo_ingest", "2024-02-01", names, fresh, daily, t.dns_geo, "ip_api")
+    return tables.run_manifest(
+        "dns_ip_geo_ingest", "2024-02-01", "2024-02-01T00:00:00Z", names, fresh, daily, t.dns_geo, "ip_api"
+    )
 
 
 # -- certificate messages ---------------------------------------------------------

@@ -87,7 +87,7 @@ def _publish_feed(bronze: DataFrame, path: str, ds: str, min_rows: int, today: s
     return tables.publish_day(rows, path, ds, min_rows)
 
 
-def build_silver(spark: SparkSession, at: Layout, ds: str) -> dict[str, str]:
+def daily_silver(spark: SparkSession, at: Layout, ds: str) -> dict[str, str]:
     malware = _day(_read(spark, at.bronze__urlhaus, schemas.BRONZE_MALWARE), ds)
     phish = _day(_read(spark, at.bronze__openphish, schemas.BRONZE_PHISH), ds)
     return {
@@ -96,7 +96,7 @@ def build_silver(spark: SparkSession, at: Layout, ds: str) -> dict[str, str]:
     }
 
 
-def build_union(spark: SparkSession, at: Layout, ds: str, others: list[DataFrame] | None = None) -> str:
+def daily_union(spark: SparkSession, at: Layout, ds: str, others: list[DataFrame] | None = None) -> str:
     malware = _day(_read(spark, at.silver__urlhaus, schemas.SILVER_LABEL), ds)
     phish = _day(_read(spark, at.silver__openphish, schemas.SILVER_LABEL), ds)
     return tables.publish_day(layers.label_union(spark, malware, phish, others), at.silver__labels_union, ds)
@@ -123,7 +123,7 @@ def domains_of_day(spark: SparkSession, at: Layout, ds: str) -> DataFrame:
 
 
 def merge_dns(
-    spark: SparkSession, at: Layout, ds: str, resolved: DataFrame, answers: DataFrame, provider: str = "ip_api"
+    spark: SparkSession, at: Layout, ds: str, now: str, resolved: DataFrame, answers: DataFrame, provider: str = "ip_api"
 ) -> DataFrame:
     """Bring newly resolved pairs and landed geo answers into the cache and publish the day.
 
@@ -139,7 +139,7 @@ def merge_dns(
     daily = lookups.daily_snapshot(merged, names, "puny_domain")
     tables.publish_day(daily, at.lookups__dns_geo, ds)
     published = _day(_read(spark, at.lookups__dns_geo, schemas.DNS_GEO), ds)
-    manifest = materialise(tables.run_manifest("dns_ip_geo_ingest", ds, names, pairs, published, merged, provider), "manifest")
+    manifest = materialise(tables.run_manifest("dns_ip_geo_ingest", ds, now, names, pairs, published, merged, provider), "manifest")
     tables.write_json(manifest, f"{at.lookups__manifests}/ds={ds}")
     return manifest
 
@@ -171,7 +171,7 @@ def _attrs(spark: SparkSession, at: Layout) -> DataFrame:
     return _read(spark, at.silver__misp_osint, schemas.THREAT_LIST_TEXT)
 
 
-def retrain(
+def train_model(
     spark: SparkSession,
     at: Layout,
     ds: str,
@@ -195,7 +195,7 @@ def retrain(
     return models.register(model, at.models, f"model-{ds}", now, counts, measures)
 
 
-def predict_and_export(
+def publish_threats(
     spark: SparkSession, at: Layout, ds: str, now: str, spec: models.FeatureSpec = models.FeatureSpec()
 ) -> DataFrame | None:
     """Score the day's domains, apply the overrides and publish threats, statistics and drift."""
@@ -215,9 +215,9 @@ def predict_and_export(
     _require(quality.export_checks(exported).unionByName(quality.override_checks(exported)).unionByName(quality.statistics_checks(stats)))
     tables.write_json(stats, f"{at.gold__statistics}/ds={ds}")
     run = F.lit(ds).alias(RUN)
-    levels = F.when(F.col("is_in_misp") == 1, 1.0).otherwise(F.col("score")).alias("score")
+    published = F.when(F.col("is_in_misp") == 1, 1.0).otherwise(F.col("score")).alias("score")
     tables.write_days(
-        gold.run_statistics(scored.select(run, levels), RUN).withColumn(tables.PARTITION, F.col(RUN).cast("date")),
+        gold.run_statistics(scored.select(run, published), RUN).withColumn(tables.PARTITION, F.col(RUN).cast("date")),
         at.gold__history,
     )
     history = spark.read.parquet(at.gold__history).drop(tables.PARTITION)
@@ -225,7 +225,10 @@ def predict_and_export(
         F.map_from_entries(F.collect_list(F.struct("sample_asn", "count"))).alias("top_asns")
     )
     latest = gold.drift(history).filter(F.col(RUN) == ds).join(asns, RUN, "left")
-    tables.write_json(latest, f"{at.gold__drift}/ds={ds}")
+    levels = stats.select("riskDistribution").scalar().alias("risk_distribution")
+    drift = latest.withColumnRenamed(RUN, "date").select(F.lit(now).alias("generated_at"), "*", levels)
+    tables.write_json(drift, f"{at.gold__drift}/ds={ds}")
+    tables.write_json(models.newest_meta(spark, at.models), f"{at.gold__model_meta}/ds={ds}")
     return exported
 
 
@@ -245,7 +248,7 @@ def ct_domains(events: DataFrame, runs: int | None = None, rows: int | None = No
     return picks.first_ct(known)
 
 
-def enrich_ct(base: DataFrame, resolved: DataFrame, answers: DataFrame) -> DataFrame:
+def ct_facts(base: DataFrame, resolved: DataFrame, answers: DataFrame) -> DataFrame:
     """Address facts per certificate domain out of landed answers.
 
     ``resolved`` has (registered_domain, ip); a domain without a row there counts
@@ -256,13 +259,13 @@ def enrich_ct(base: DataFrame, resolved: DataFrame, answers: DataFrame) -> DataF
     return features.ct_summary(lookup_join(pairs, geo, "ip"), base)
 
 
-def score_ct(model, enriched: DataFrame, spec: models.FeatureSpec) -> DataFrame:
+def ct_scores(model, enriched: DataFrame, spec: models.FeatureSpec) -> DataFrame:
     """The newest record per domain with its score and risk bucket."""
     scored = models.score(model, picks.latest_ct(enriched), spec)
     return scored.withColumn("risk_bucket", risk_bucket(F.col("score")))
 
 
-def analyze_ct(scored: DataFrame) -> dict[str, DataFrame]:
+def ct_reports(scored: DataFrame) -> dict[str, DataFrame]:
     """The score reports. ``scored`` is read by all of them, so pass a stored table."""
     by_suffix = with_registered_domain(scored.withColumn("_name", F.col("registered_domain")), "_name", "tld", None)
     return {

@@ -101,7 +101,7 @@ VIEWS: dict[str, str] = {
         FROM label_pick l LEFT JOIN dns_agg d USING (registered_domain) LEFT JOIN whois_pick w USING (registered_domain)
           LEFT JOIN dns_hit h USING (registered_domain) LEFT JOIN listed_domain m USING (registered_domain)""",
     "threat_row": """
-        SELECT f.domain, coalesce(f.url, '') AS url, strftime(f.first_seen, '%Y-%m-%d %H:%M:%S') AS "firstSeen",
+        SELECT f.domain, coalesce(f.url, '') AS url, concat(strftime(f.first_seen, '%Y-%m-%d %H:%M:%S'), '+00:00') AS "firstSeen",
           f.label_text AS label, CASE WHEN is_in_misp = 1 THEN 'misp_osint' ELSE f.source END AS source,
           CASE WHEN is_in_misp = 1 THEN 1.0 ELSE round(s.score, 4) END AS "riskScore",
           CASE WHEN is_in_misp = 1 OR s.score >= 0.9 THEN 'CRITICAL' WHEN s.score >= 0.6 THEN 'HIGH'

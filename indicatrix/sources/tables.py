@@ -146,13 +146,21 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def run_manifest(
-    job: str, ds: str, domains: DataFrame, new_pairs: DataFrame, daily: DataFrame, cache: DataFrame, provider: str
+    job: str,
+    ds: str,
+    generated_at: str,
+    domains: DataFrame,
+    new_pairs: DataFrame,
+    daily: DataFrame,
+    cache: DataFrame,
+    provider: str,
 ) -> DataFrame:
-    """One row of counts about a lookup run."""
+    """One row of counts about a lookup run, under the names its readers know."""
     counts = {"total_domains": domains, "new_pairs_resolved": new_pairs, "daily_rows": daily, "cache_size": cache}
     return domains.sparkSession.range(1).select(
-        F.lit(job).alias("job"),
+        F.lit(job).alias("dag_id"),
         F.lit(ds).alias("ds"),
+        F.lit(generated_at).alias("generated_at"),
         *[table.agg(F.count("*")).scalar().alias(name) for name, table in counts.items()],
         F.lit(provider).alias("geo_provider"),
         F.lit(0).cast("bigint").alias("errors"),

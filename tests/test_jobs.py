@@ -41,13 +41,13 @@ def test_daily_layers(spark, at, landed):
     for _ in range(2):
         assert jobs.ingest_malware(spark, at, feed, DS, NOW, today=DS, min_rows=20) == "written"
         assert jobs.ingest_phish(spark, at, str(landed / "phish.txt"), DS, NOW, today=DS, min_rows=20) == "written"
-        assert jobs.build_silver(spark, at, DS) == {"urlhaus": "written", "openphish": "written"}
+        assert jobs.daily_silver(spark, at, DS) == {"urlhaus": "written", "openphish": "written"}
         seeds = spark.createDataFrame([(n, f"http://{n}/") for n in SEEDS], "domain string, url string").withColumns(
             {"first_seen": F.lit("2024-01-15").cast("timestamp"), "label": F.lit("benign"), "source": F.lit("benign_seed")}
         )
-        assert jobs.build_union(spark, at, DS, [seeds]) == "written"
+        assert jobs.daily_union(spark, at, DS, [seeds]) == "written"
         assert jobs.ingest_threat_list(spark, at, str(landed / "list"), DS, min_rows=2) == "written"
-    assert jobs.build_silver(spark, at, "2023-01-01") == {"urlhaus": "no_input", "openphish": "no_input"}
+    assert jobs.daily_silver(spark, at, "2023-01-01") == {"urlhaus": "no_input", "openphish": "no_input"}
     labels = jobs.labels_of(spark, at)
     assert labels.count() == 60 + len(SEEDS)
     assert rows(labels.filter("url = 'http://www.evil3-login.com/x3'"), "registered_domain", "seen_in_urlhaus") == [("evil3-login.com", True)]
@@ -61,9 +61,9 @@ def test_lookups(spark, at):
     value = F.lit(json.dumps({"status": "success", "country": "NL", "as": "AS1 Net", "isp": "I"}))
     answers = pairs.select("ip", F.lit("ip_api").alias("provider"), value.alias("value")).distinct()
     total = 60 + len(SEEDS)
-    first = jobs.merge_dns(spark, at, DS, pairs, answers).first()
+    first = jobs.merge_dns(spark, at, DS, NOW, pairs, answers).first()
     assert (first["total_domains"], first["new_pairs_resolved"], first["daily_rows"], first["cache_size"]) == (total, total - 1, total - 1, total - 1)
-    again = jobs.merge_dns(spark, at, DS, pairs, answers).first()
+    again = jobs.merge_dns(spark, at, DS, NOW, pairs, answers).first()
     assert (again["new_pairs_resolved"], again["daily_rows"], again["cache_size"]) == (0, total - 1, total - 1)
 
     assert jobs.whois_to_fetch(spark, at, DS, NOW).count() == total
@@ -78,11 +78,11 @@ def test_lookups(spark, at):
     assert jobs.whois_to_fetch(spark, at, DS, "2024-03-10 00:00:00").count() == total
 
 
-def test_retrain_and_export(spark, at):
-    meta = jobs.retrain(spark, at, DS, NOW, spec=SPEC, estimator=models.logistic(80, 25)).first()
+def test_training_and_publishing(spark, at):
+    meta = jobs.train_model(spark, at, DS, NOW, spec=SPEC, estimator=models.logistic(80, 25)).first()
     assert (meta["n_rows"], meta["n_pos"], meta["n_neg"]) == (60 + len(SEEDS), 60, len(SEEDS))
     assert meta["metrics"]["roc_auc"] > 0.9
-    exported = jobs.predict_and_export(spark, at, DS, NOW, SPEC)
+    exported = jobs.publish_threats(spark, at, DS, NOW, SPEC)
     got = {r["domain"]: r for r in exported.collect()}
     assert len(got) == 60 + len(SEEDS)
     assert (got["bad0.co.uk"]["source"], got["bad0.co.uk"]["threatType"], got["bad0.co.uk"]["riskScore"]) == ("misp_osint", "phish-kit", 1.0)
@@ -93,10 +93,12 @@ def test_retrain_and_export(spark, at):
     stats = spark.read.json(f"{at.gold__statistics}/ds={DS}").first()
     assert stats["totalSamples"] == stats["exportedCount"] == len(got)
     drift = spark.read.json(f"{at.gold__drift}/ds={DS}").first()
-    assert drift["run_date"] == DS and drift["alert"] is None and drift["top_asns"]["AS1"] == len(got) - 1
-    assert jobs.predict_and_export(spark, at, "2023-01-01", NOW, SPEC) is None
+    assert drift["date"] == DS and drift["alert"] is None and drift["risk_distribution"]["CRITICAL"] >= 2 and drift["top_asns"]["AS1"] == len(got) - 1
+    meta = spark.read.json(f"{at.gold__model_meta}/ds={DS}").first()
+    assert meta["model_file"] == f"model-{DS}" and meta["metrics"]["roc_auc"] > 0.9
+    assert jobs.publish_threats(spark, at, "2023-01-01", NOW, SPEC) is None
     # A second run of the day changes nothing.
-    again = jobs.predict_and_export(spark, at, DS, NOW, SPEC)
+    again = jobs.publish_threats(spark, at, DS, NOW, SPEC)
     assert rows(again) == sorted((tuple(r) for r in got.values()), key=lambda r: tuple((x is not None, str(x)) for x in r))
     assert spark.read.parquet(at.gold__history).count() == 1
 
@@ -110,12 +112,12 @@ def test_certificate_path(spark, at):
     assert jobs.ct_domains(events, rows=1).count() == 1
     resolved = spark.createDataFrame([("a-login.com", "1.1.1.1"), ("a-login.com", "::1"), ("b.org", "1.1.1.1")], "registered_domain string, ip string")
     answers = spark.createDataFrame([("1.1.1.1", json.dumps({"status": "success", "country": "US", "as": "AS1 N", "asname": "N"}))], "ip string, value string")
-    enriched = jobs.enrich_ct(base, resolved, answers)
+    enriched = jobs.ct_facts(base, resolved, answers)
     got = {r["registered_domain"]: r for r in enriched.collect()}
     assert (got["a-login.com"]["num_unique_ips"], got["a-login.com"]["has_ipv6"], got["a-login.com"]["sample_asn"]) == (2, 1, "AS1 N")
     assert got["c.co.uk"]["num_unique_ips"] == 0
-    scored = jobs.score_ct(models.newest(spark, at.models), enriched, SPEC)
+    scored = jobs.ct_scores(models.newest(spark, at.models), enriched, SPEC)
     assert scored.count() == 3 and scored.filter("risk_bucket IS NULL").count() == 0
-    reports = jobs.analyze_ct(scored)
+    reports = jobs.ct_reports(scored)
     assert reports["summary"].first()["count"] == 3 and rows(reports["keywords"], "registered_domain") == [("a-login.com",)]
     assert {name for name, df in reports.items() if df.count() == 0} == {"tld", "country"}

@@ -147,3 +147,5 @@ def test_times(values):
     ]
     assert values(["2024-01-31 23:59:58.1"], times.seconds_between(now, X.cast("timestamp"))) == [1.9]
     assert values(["2024-01-31 12:00:00"], times.days_between(now, X.cast("timestamp"))) == [0.5]
+    stamps = ["2024-01-31 00:00:00", "2024-01-31 01:02:03.5"]
+    assert values(stamps, times.iso_text(X.cast("timestamp"))) == ["2024-01-31 00:00:00+00:00", "2024-01-31 01:02:03.500000+00:00"]
