@@ -186,7 +186,7 @@ def train_model(
     whois = tables.trailing_days(_whois_columns(spark, at), ds, days)
     listed = matches.listed_domains(tables.trailing_days(_attrs(spark, at), ds, days).drop(tables.PARTITION))
     rows = features.feature_rows(labels, dns, whois, _at(now), listed)
-    data = materialise(models.split(rows), "training-rows")
+    data = models.training_table(rows)
     counts = features.dataset_counts(data).first().asDict()
     if not counts["n_rows"]:
         raise ValueError("no labels to train on")

@@ -14,7 +14,7 @@ from indicatrix.operators import features, gold, layers, metrics, models
 from indicatrix.plans.lookup_queries import feature_rows, listed
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables
-from indicatrix.session import materialise, scratch_dir
+from indicatrix.session import scratch_dir
 
 # Narrow hashed blocks and few rounds, so that the queries train in seconds.
 SMALL = models.FeatureSpec(gram_width=256, category_width=64)
@@ -22,9 +22,7 @@ ROUNDS, DEPTH = 5, 3
 
 
 def training_rows(t: Tables) -> DataFrame:
-    """Feature rows with their split, written once because training reads them many times."""
-    rows = features.with_membership(feature_rows(t), listed(t))
-    return materialise(models.split(rows), "training-rows")
+    return models.training_table(features.with_membership(feature_rows(t), listed(t)))
 
 
 @query(
