@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_queries
+from indicatrix.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # These answers are single rows of measures, or counts that may be empty on tiny tables.
@@ -15,7 +16,7 @@ def db():
     return check_queries.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     problem = check_queries.compare(spark, db, SF, name)
     if name in MAY_BE_EMPTY and problem == "agree, but no rows":
