@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from indicatrix.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 
 
 def sized(docs: DataFrame) -> DataFrame:
