@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indicatrix.llm import decontaminate, mixing, secrets, simhash, toxicity
+from indicatrix.llm import chat, ctw, decontaminate, mixing, rollups, secrets, simhash, substrings, topk, toxicity
 from indicatrix.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,5 +32,10 @@ def query(name: str, *tables: str, sql: str | None = None):
 query("op1_secret_scans", "documents")(secrets.digest)
 query("op2_simhash_near_dedup", "documents")(simhash.near_duplicates)
 query("op3_toxicity", "documents", "labels")(toxicity.toxicity)
+query("op4_exact_top_k", "embeddings", sql=topk.NEAREST_SQL)(topk.nearest)
+query("op5_token_counts", "documents", sql=rollups.TOTALS_SQL)(rollups.token_totals)
 query("op6_mixing", "documents", sql=mixing.MIX_SQL)(mixing.mix_digest)
 query("op7_benchmark_decontamination", "documents", "benchmark")(decontaminate.contamination)
+query("op8_chat_formatting", "conversations", sql=chat.DIGEST_SQL)(chat.digest)
+query("op9_substring_dedup", "documents")(substrings.digest)
+query("op10_lm_scoring", "documents")(ctw.scores)
