@@ -277,7 +277,7 @@ def score_rows(docs: DataFrame, tree: Tree | None, common, denominator: float) -
                 tokens = np.bincount(text, minlength=n)
                 at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
                 found = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
-                base = np.bincount(text[found], logs[at[found]], n)
+                base = np.bincount(text[found], logs[at[found]], n).astype(float)
                 hits = np.bincount(text[found], minlength=n)
                 # Other words, counted per text.
                 order = np.lexsort((hashes[~found], text[~found]))

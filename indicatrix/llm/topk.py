@@ -128,7 +128,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         *(F.col(c).alias("q_" + c) for c in ("ids", "weights", "width", "wide")), "part", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot")
     )
     row_blocks = packed(rows, ROWS_PER_BLOCK).select(
-        "ids", "weights", "width", "wide", F.pmod(F.xxhash64("block"), F.lit(SLOTS)).cast("int").alias("slot"), F.explode(F.sequence(F.lit(0), F.lit(n_keys - 1))).cast("long").alias("part")
+        "ids", "weights", "width", "wide", F.pmod(F.xxhash64("block"), F.lit(SLOTS)).cast("int").alias("slot"), F.explode(F.sequence(F.lit(0), F.lit(n_keys - 1)).cast("array<long>")).alias("part")
     )
     best = block_top(row_blocks.hint("merge").join(query_blocks, ["part", "slot"]), k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
