@@ -77,25 +77,43 @@ def anchor_counts(docs: DataFrame, length: int, prefix: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
 
 
-def anchor_rows(docs: DataFrame, length: int, prefix: int) -> DataFrame:
-    """A row per anchor: its prefix, document, place, first window and the hashes of its windows."""
+def anchor_places(docs: DataFrame, length: int, prefix: int) -> DataFrame:
+    """A row per anchor: its prefix, document and place."""
 
     def run(batches):
         anchors = Anchors(length, prefix)
         for batch in batches:
-            ids = batch.column(1)
             data, offsets = buffers(batch.column(0))
+            for first, _, part, cuts in chunks(data, offsets):
+                if (x := anchors.find(part, cuts)) is not None:
+                    ids = batch.column(1).take(pa.array(x[1] + first))
+                    yield pa.record_batch([pa.array(x[0].view(np.int64)), ids, pa.array(x[2], pa.int32())], ["anchor", "doc_id", "place"])
+
+    return docs.select("text", "doc_id").mapInArrow(run, "anchor long, doc_id long, place int")
+
+
+def anchor_runs(docs: DataFrame, length: int, prefix: int) -> DataFrame:
+    """A row per anchor at one of the document's ``places``, with its first window and the hashes of its windows."""
+
+    def run(batches):
+        anchors = Anchors(length, prefix)
+        for batch in batches:
+            data, offsets = buffers(batch.column(0))
+            lists = batch.column(2)
+            wanted = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False)) << 32 | lists.flatten().to_numpy()
             for first, _, part, cuts in chunks(data, offsets):
                 if (x := anchors.find(part, cuts)) is None:
                     continue
                 prefixes, text, place, begin, windows, edges = x
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(windows.view(np.int64)))
+                kept = np.flatnonzero(np.isin((text + first) << 32 | place, wanted))
+                runs = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(windows.view(np.int64))).take(pa.array(kept))
+                ids = batch.column(1).take(pa.array(text[kept] + first))
                 yield pa.record_batch(
-                    [pa.array(prefixes.view(np.int64)), ids.take(pa.array(text + first)), pa.array(place, pa.int32()), pa.array(begin, pa.int32()), lists],
+                    [pa.array(prefixes[kept].view(np.int64)), ids, pa.array(place[kept], pa.int32()), pa.array(begin[kept], pa.int32()), runs],
                     ["anchor", "doc_id", "place", "first", "windows"],
                 )
 
-    return docs.select("text", "doc_id").mapInArrow(run, "anchor long, doc_id long, place int, first int, windows array<long>")
+    return docs.select("text", "doc_id", "places").mapInArrow(run, "anchor long, doc_id long, place int, first int, windows array<long>")
 
 
 def later_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -> DataFrame:
@@ -106,8 +124,10 @@ def later_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = stored(anchor_counts(docs, length, prefix).where("n > 1").select("anchor"), "shared-prefixes")
-    runs = anchor_rows(docs, length, prefix).join(shared, "anchor").withColumn("run", F.xxhash64("windows"))
-    runs = stored(runs, "anchor-runs")
+    # Where they stand, by document; only those anchors bring their windows along.
+    places = anchor_places(docs, length, prefix).join(shared, "anchor").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("place").alias("places"))
+    placed = docs.join(stored(places, "shared-places"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    runs = stored(anchor_runs(placed, length, prefix).withColumn("run", F.xxhash64("windows")), "anchor-runs")
 
     # Copies: equal runs of windows around an anchor. All but the first are later altogether.
     own = F.struct("doc_id", "place")
