@@ -22,7 +22,7 @@ from indicatrix.llm.store import stored
 from indicatrix.llm.words import Hasher, bounds, buffers, chunks
 
 DEPTH = 4
-MAX_NODES = 3_000_000
+MAX_NODES = 2_000_000
 COMMON_WORDS = 200_000
 END_WORD = 0  # the hash kept for the end of a text; no word has it
 LN10 = float(np.log(10))
@@ -122,12 +122,9 @@ def tree_nodes(counts: DataFrame) -> DataFrame:
 class Tree:
     """The nodes that scoring reads: sorted keys (depth, context, decision), the estimate of a one, and the node's own weight."""
 
-    def __init__(self, depth, node, zeros, ones, log_ratio):
-        key = depth.astype(np.int64) << 48 | node.astype(np.int64)
-        order = np.argsort(key)
-        self.keys = key[order]
-        self.one = ((ones + 0.5) / (zeros + ones + 1.0))[order].astype(np.float32)
-        self.own = (1.0 / (1.0 + np.exp(-np.clip(log_ratio, -60, 60))))[order].astype(np.float32)
+    def __init__(self, table: pd.DataFrame):
+        table = table.sort_values("key")
+        self.keys, self.one, self.own = (table[c].to_numpy() for c in ("key", "one", "own"))
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """log10 probability of the byte of each code in its context; codes are fastest in ascending order."""
@@ -160,13 +157,17 @@ def grown_tree(texts: DataFrame) -> Tree | None:
         if kept + sizes[step] > MAX_NODES:
             break
         least, kept = step, kept + sizes[step]
-    table = nodes.where(level >= least).select("depth", "node", "zeros", "ones", "log_ratio").toPandas()
     root = nodes.where("depth = 1").groupBy((F.col("node") % 256).alias("node"))
     root = root.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_weighted").alias("split")).toPandas()
-    root["log_ratio"] = log_kt(root["zeros"].to_numpy(), root["ones"].to_numpy()) - root["split"]
-    root["depth"] = 0
-    table = pd.concat([table, root[table.columns]])
-    return Tree(*(table[c].to_numpy() for c in ("depth", "node", "zeros", "ones", "log_ratio")))
+    ratio = log_kt(root["zeros"].to_numpy(), root["ones"].to_numpy()) - root["split"].to_numpy()
+    top = pd.DataFrame({"key": root["node"], "one": (root["ones"] + 0.5) / (root["zeros"] + root["ones"] + 1), "own": 1 / (1 + np.exp(-np.clip(ratio, -60, 60)))})
+    bounded = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.col("log_ratio")))
+    table = nodes.where(level >= least).select(
+        (F.shiftleft(F.col("depth").cast("long"), 48).bitwiseOR(F.col("node"))).alias("key"),
+        ((F.col("ones") + 0.5) / (total + 1)).cast("float").alias("one"),
+        (1 / (1 + F.exp(-bounded))).cast("float").alias("own"),
+    )
+    return Tree(pd.concat([table.toPandas(), top.astype({"key": "int64", "one": "float32", "own": "float32"})]))
 
 
 class Known:
