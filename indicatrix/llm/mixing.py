@@ -136,9 +136,9 @@ goals AS (
 ordered AS (
   SELECT d.doc_id, d.size, g.source_size, g.target, g.whole,
     CAST(round(g.target) AS BIGINT) - g.whole * g.source_size AS goal,
-    sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('42:' || CAST(d.doc_id AS VARCHAR)), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS at
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('42:' || CAST(d.doc_id AS VARCHAR)), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS upto
   FROM sizes d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
-  CAST(whole * size + greatest(0, least(size, goal - (at - size))) AS BIGINT) AS taken
+  CAST(whole * size + greatest(0, least(size, goal - (upto - size))) AS BIGINT) AS taken
 FROM ordered
 """

@@ -150,7 +150,7 @@ WITH counted AS (
   SELECT source, lang, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
     strlen(coalesce(text, '')) AS bytes FROM documents WHERE length(coalesce(text, '')) >= 40)
 SELECT source, lang, 'words' AS tokenizer, count(*) AS documents,
-  CAST(sum(len(words) - len(list_filter(words, w -> w = '|'))) AS BIGINT) AS tokens FROM counted GROUP BY ALL
+  CAST(sum(len(words) - len(list_filter(words, lambda w: w = '|'))) AS BIGINT) AS tokens FROM counted GROUP BY ALL
 UNION ALL
 SELECT source, lang, 'bytes' AS tokenizer, count(*) AS documents, CAST(sum(bytes) AS BIGINT) AS tokens FROM counted GROUP BY ALL
 """
