@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from indicatrix.functions.ip import is_ipv4
 from indicatrix.functions.text import count_of, indicator_host
@@ -129,21 +126,11 @@ def is_ascii(name: Column) -> Column:
     return ~name.rlike(r"[^\x00-\x7F]")
 
 
-@F.pandas_udf(T.StringType())
-def _idna_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for names in batches:
-        yield names.map(_idna, na_action="ignore")
+def punycode(name: Column) -> Column:
+    """The IDNA form of a name; ASCII names already are their own, and a name that has none is kept as it is."""
+    encoded = F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), name)
+    return F.when(is_ascii(name), name).otherwise(F.coalesce(encoded, name))
 
 
 def with_punycode(df: DataFrame, name: str, out: str = "puny_domain") -> DataFrame:
-    """Add the IDNA form of ``name``; a name that has none is kept as it is.
-
-    ASCII names already are their own IDNA form. Only the others, a small part
-    of real feeds, leave the JVM.
-    """
-    ascii_or_null = F.coalesce(is_ascii(F.col(name)), F.lit(True))
-    return (
-        df.filter(ascii_or_null)
-        .withColumn(out, F.col(name))
-        .unionByName(df.filter(~ascii_or_null).withColumn(out, _idna_udf(F.col(name))))
-    )
+    return df.withColumn(out, punycode(F.col(name)))

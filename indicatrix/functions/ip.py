@@ -42,6 +42,28 @@ def ipv6_flag(ip: Column) -> Column:
     return F.coalesce(is_ipv6(ip), F.lit(False)).cast("int")
 
 
+def _bits(part: Column, base: int, width: int) -> Column:
+    return F.lpad(F.conv(part, base, 2), width, "0")
+
+
+def address_bits(ip: Column) -> Column:
+    """The address as text of 32 or 128 binary digits; NULL for text that is no address."""
+    v4 = F.array_join(F.transform(F.split(ip, r"\."), lambda p: _bits(p, 10, 8)), "")
+    bare = F.regexp_replace(ip, r"%.+$", "")
+    # An embedded IPv4 tail as two groups.
+    tail = F.split(F.regexp_extract(bare, rf"{_TAIL4}$", 0), r"\.")
+    pair = [
+        F.hex(F.get(tail, F.lit(i)).try_cast("int") * 256 + F.get(tail, F.lit(i + 1)).try_cast("int")) for i in (0, 2)
+    ]
+    front = F.regexp_replace(bare, rf"{_TAIL4}$", "")
+    whole = F.when(F.contains(bare, F.lit(".")), F.concat(front, pair[0], F.lit(":"), pair[1])).otherwise(bare)
+    sides = F.transform(F.split(whole, "::", -1), lambda side: F.filter(F.split(side, ":"), lambda g: g != ""))
+    left, right = F.get(sides, F.lit(0)), F.coalesce(F.get(sides, F.lit(1)), F.array().cast("array<string>"))
+    gap = F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(left) - F.size(right)))
+    v6 = F.array_join(F.transform(F.concat(left, gap, right), lambda g: _bits(g, 16, 16)), "")
+    return F.when(is_ipv4(ip), v4).when(is_ipv6(ip), v6)
+
+
 def ipv4_number(ip: Column) -> Column:
     """The address as a number; NULL for anything but IPv4."""
     parts = F.split(ip, r"\.")

@@ -59,7 +59,7 @@ def _root_is(value: Column, wanted: str | list[str]) -> Column:
 
 def _violation(path: str, message: Column | str) -> Column:
     text = F.lit(message) if isinstance(message, str) else message
-    return F.concat(F.lit(f"contract_violation:{path}:"), F.substring(text, 1, 120))
+    return F.concat(F.lit(f"contract_violation:{path}:"), text)
 
 
 def _type_text(wanted: str | list[str]) -> str:

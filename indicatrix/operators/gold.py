@@ -66,10 +66,10 @@ def value_counts(df: DataFrame, column: str, n: int, without: str | None = None)
     return counts.orderBy(F.col("count").desc(), "value").limit(n)
 
 
-def count_tables(exported: DataFrame) -> DataFrame:
-    """Counts per level, type, source, country and registrar from one pass.
+def count_tables(threats: DataFrame) -> DataFrame:
+    """Counts per level, type, source, country and registrar from one pass over all threats.
 
-    All four levels appear, with 0 where none was exported.
+    All four levels appear, with 0 where there is none.
     """
     kinds = {
         "riskDistribution": "riskLevel",
@@ -78,10 +78,10 @@ def count_tables(exported: DataFrame) -> DataFrame:
         "topCountries": "country",
         "topRegistrars": "registrar",
     }
-    spark = exported.sparkSession
+    spark = threats.sparkSession
     one = F.lit(1).cast("bigint")
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in kinds.items()]))
-    rows = exported.select(pairs.alias("_p")).select("_p.*", one.alias("n"))
+    rows = threats.select(pairs.alias("_p")).select("_p.*", one.alias("n"))
     levels = spark.createDataFrame([("riskDistribution", level, 0) for level in RISK_LEVELS], rows.schema)
     counts = rows.unionByName(levels).groupBy("kind", "value").agg(F.sum("n").alias("count"))
     top = Window.partitionBy("kind").orderBy(F.col("count").desc(), "value")
@@ -94,11 +94,12 @@ def count_tables(exported: DataFrame) -> DataFrame:
     )
 
 
-def totals(exported: DataFrame) -> DataFrame:
-    """Counts and the mean over exported rows: malicious + benign = exported."""
+def totals(threats: DataFrame, export_limit: int = TOP_THREATS) -> DataFrame:
+    """Counts and the mean over all threats: malicious + benign = all. Also how many the export document holds."""
     malicious = F.count_if(F.col("riskScore") >= MALICIOUS_FROM)
-    return exported.agg(
-        F.count("*").alias("exportedCount"),
+    return threats.agg(
+        F.count("*").alias("threatCount"),
+        F.least(F.count("*"), F.lit(export_limit)).cast("bigint").alias("exportedCount"),
         malicious.alias("maliciousCount"),
         (F.count("*") - malicious).alias("benignCount"),
         F.avg("riskScore").alias("averageRiskScore"),
@@ -107,7 +108,7 @@ def totals(exported: DataFrame) -> DataFrame:
 
 
 def population(rows: DataFrame) -> DataFrame:
-    """Size and date range of the whole population before the export limit."""
+    """Size and date range of the whole population."""
     return rows.agg(
         F.count("*").alias("totalSamples"),
         F.min("first_seen").alias("earliest"),
@@ -115,10 +116,10 @@ def population(rows: DataFrame) -> DataFrame:
     )
 
 
-def statistics(rows: DataFrame, exported: DataFrame) -> DataFrame:
-    """The statistics document as one row. ``exported`` holds at most the export limit."""
+def statistics(rows: DataFrame, threats: DataFrame) -> DataFrame:
+    """The statistics document as one row, over the whole threat table. It is read twice, so pass a stored one."""
     maps = (
-        count_tables(exported)
+        count_tables(threats)
         .groupBy("kind")
         .agg(F.map_from_entries(F.collect_list(F.struct("value", "count"))).alias("counts"))
         .agg(F.map_from_entries(F.collect_list(F.struct("kind", "counts"))).alias("_maps"))
@@ -127,9 +128,9 @@ def statistics(rows: DataFrame, exported: DataFrame) -> DataFrame:
         "riskDistribution", "threatTypeDistribution", "sourceDistribution", "topCountries", "topRegistrars",
     ]
     people = population(rows).select(F.struct("*")).scalar()
-    joined = totals(exported).withColumns({"_population": people, "_maps": maps.scalar()})
+    joined = totals(threats).withColumns({"_population": people, "_maps": maps.scalar()})
     return joined.select(
-        "_population.totalSamples", "exportedCount", "maliciousCount", "benignCount", "averageRiskScore", "highRiskCount",
+        "_population.totalSamples", "threatCount", "exportedCount", "maliciousCount", "benignCount", "averageRiskScore", "highRiskCount",
         F.struct("_population.earliest", "_population.latest").alias("dateRange"),
         *[F.col("_maps")[k].alias(k) for k in kinds],
     )

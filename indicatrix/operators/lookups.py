@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicatrix import schemas
-from indicatrix.functions.ip import ip_family, ipv4_number
+from indicatrix.functions.ip import address_bits, ip_family
 from indicatrix.operators import picks
 from indicatrix.operators.skew import lookup_join
 
@@ -61,35 +61,32 @@ def upsert_whois(cache: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def locate_ips(ips: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Attributes of the IPv4 network block that holds each address.
+    """Attributes of the network block that holds each address, IPv4 and IPv6 alike; the narrowest block wins.
 
-    ``blocks`` carries ``network`` as ``a.b.c.d/n`` plus attributes. Addresses and
-    blocks meet on their first two octets; a wider block is repeated for each
-    /16 in it. Addresses are distinct, so one /16 never holds more than 65 536
-    of them, however skewed the input is. The narrowest block wins.
+    ``blocks`` carries ``network`` as ``address/width`` plus attributes. A block is
+    known by its family, width and leading bits. An address has one such prefix
+    per width that any block of its family has, at most 33 and 129, so they meet
+    by equality alone. The addresses in a wide block share its prefix; that key is spread.
     """
     attributes = [c for c in blocks.columns if c != "network"]
+    bits = address_bits(F.substring_index("network", "/", 1))
     width = F.substring_index("network", "/", -1).try_cast("int")
-    sized = (
-        blocks.withColumn("_width", width)
-        .withColumn("_base", ipv4_number(F.substring_index("network", "/", 1)))
-        .filter(F.col("_base").isNotNull() & F.col("_width").between(0, 32))
-        .withColumn("_size", F.expr("shiftleft(1L, 32 - _width)"))
-        .withColumn("_from", F.col("_base") - F.col("_base") % F.col("_size"))
-        .withColumn("_to", F.col("_from") + F.col("_size") - 1)
-        .withColumn(
-            "_bucket", F.explode(F.sequence(F.expr("shiftright(_from, 16)"), F.expr("shiftright(_to, 16)")))
-        )
+    sized = blocks.withColumns({"_bits": bits, "_width": width, "_full": F.length(bits)})
+    sized = sized.filter(F.col("_bits").isNotNull() & F.col("_width").between(0, F.col("_full")))
+    prefix = ["_full", "_width", "_prefix"]
+    # Of repeated networks the one that sorts first.
+    by_prefix = sized.groupBy("_full", "_width", F.expr("substring(_bits, 1, _width)").alias("_prefix")).agg(
+        F.min(F.struct("network", *attributes)).alias("_block")
     )
-    numbered = (
-        ips.select("ip")
-        .distinct()
-        .withColumn("_number", ipv4_number(F.col("ip")))
-        .withColumn("_bucket", F.expr("shiftright(_number, 16)"))
-    )
-    hits = numbered.join(sized, "_bucket").filter(F.col("_number").between(F.col("_from"), F.col("_to")))
-    # Among blocks of one width the one that sorts first; only repeated networks tie.
-    best = hits.groupBy("ip").agg(
-        F.min(F.struct((-F.col("_width")).alias("_order"), "network", *attributes)).alias("_best")
+    widths = sized.groupBy("_full").agg(F.collect_set("_width").alias("_widths"))
+    # One row per family.
+    known = widths.agg(F.map_from_entries(F.collect_list(F.struct("_full", "_widths")))).scalar()
+    numbered = ips.select("ip").distinct().withColumn("_bits", address_bits(F.col("ip")))
+    probes = (
+        numbered.withColumn("_full", F.length("_bits"))
+        .withColumn("_width", F.explode(F.try_element_at(known, F.col("_full"))))
+        .select("ip", "_full", "_width", F.expr("substring(_bits, 1, _width)").alias("_prefix"))
     )
+    hits = lookup_join(probes, by_prefix, prefix, "inner")
+    best = hits.groupBy("ip").agg(F.max_by("_block", "_width").alias("_best"))
     return numbered.select("ip").join(best, "ip", "left").select("ip", "_best.network", *[f"_best.{a}" for a in attributes])

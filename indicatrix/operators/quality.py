@@ -52,9 +52,19 @@ def feed_age(lines: DataFrame, run_ts: Column, max_hours: float = MAX_FEED_AGE_H
 
 
 def partition_audit(
-    rows: DataFrame, date: str, layer: str, source: str = "source", partition: str = "ingest_date", root: str = ""
+    rows: DataFrame,
+    date: str,
+    layer: str,
+    source: str = "source",
+    partition: str = "ingest_date",
+    root: str = "",
+    expected: DataFrame | None = None,
 ) -> DataFrame:
-    """Size, content dates and their agreement with the partition date, per partition."""
+    """Size, content dates and their agreement with the partition date, per partition.
+
+    ``expected`` lists the (source, partition) pairs there should be; ones without
+    rows appear as empty.
+    """
     day = F.to_date(date)
     near = F.abs(F.date_diff(day, F.col(partition))) <= 1
     groups = rows.groupBy(source, partition).agg(
@@ -63,6 +73,9 @@ def partition_audit(
         F.max(day).alias("content_date_max"),
         F.avg(near.cast("double")).alias("match_ratio"),
     )
+    if expected is not None:
+        wanted = expected.select(source, partition).distinct()
+        groups = wanted.join(groups, [source, partition], "full").withColumn("rows", F.coalesce("rows", F.lit(0)))
     ratio = F.round(F.col("match_ratio"), 3)
     text = F.concat(F.lit("dateadded_mismatch_ratio="), ratio.cast("decimal(10,3)").cast("string"))
     return groups.select(
@@ -114,9 +127,9 @@ def statistics_checks(stats: DataFrame) -> DataFrame:
     return failures(
         stats,
         {
-            "counts_add_up": F.col("maliciousCount") + F.col("benignCount") != F.col("exportedCount"),
+            "counts_add_up": F.col("maliciousCount") + F.col("benignCount") != F.col("threatCount"),
             "malicious_within_total": F.col("maliciousCount") > F.col("totalSamples"),
-            "levels_sum": levels != F.col("exportedCount"),
+            "levels_sum": levels != F.col("threatCount"),
             "high_risk_recount": dist["CRITICAL"] + dist["HIGH"] != F.col("highRiskCount"),
             "mean_range": (F.col("averageRiskScore") < 0) | (F.col("averageRiskScore") > 1),
         },

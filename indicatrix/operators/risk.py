@@ -150,6 +150,11 @@ def score_histogram(rows: DataFrame, score: str = "score", bins: int = 50) -> Da
     )
 
 
+def top_domains(rows: DataFrame, name: str = "registered_domain", score: str = "score", top: int = 20) -> DataFrame:
+    """The highest scored names."""
+    return rows.orderBy(F.col(score).desc(), name).limit(top)
+
+
 def suspicious_names(rows: DataFrame, name: str, score: str = "score", top: int = 50) -> DataFrame:
     """The highest scored names that hold a suspicious word."""
     hits = rows.filter(text.has_suspicious_word(F.col(name)))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from indicatrix.functions.buckets import MAP_COUNTRY_ALIASES, intensity_class
 
-MAX_QUERIES = 1000
+# Characters of a text by which it meets URLs.
+GRAM = 4
 
 
 def _name_or_url_holds(query: str | Column) -> Column:
@@ -25,22 +26,38 @@ def of_level(threats: DataFrame, level: str) -> DataFrame:
     return threats if level == "ALL" else threats.filter(F.col("riskLevel") == level)
 
 
-def lookup(threats: DataFrame, queries: list[str], rank: list[Column | str]) -> DataFrame:
+def lookup(threats: DataFrame, texts: DataFrame | list[str], rank: list[Column | str]) -> DataFrame:
     """For each text the first row, by ``rank``, whose domain equals it or whose URL holds it.
 
-    The texts travel as a constant, so the rows are scanned once and not joined;
-    only the best row per text is shuffled.
+    ``texts`` has one column, or is a list. A text meets domains by equality. It
+    meets URLs by the last characters of it (GRAM of them, or all of a shorter text), and is
+    then looked for in the URL. Only the best row per text and task is shuffled on.
     """
-    wanted = sorted({q.lower().strip() for q in queries} - {""})
-    if len(wanted) > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} texts at a time")
-    domain, url = F.lower("domain"), F.lower("url")
-    hits = F.filter(
-        F.array(*[F.lit(q) for q in wanted]).cast("array<string>"),
-        lambda q: (q == domain) | F.contains(url, q),
+    if isinstance(texts, list):
+        texts = threats.sparkSession.createDataFrame([(t,) for t in texts], "query string")
+    text = F.lower(F.trim(F.col(texts.columns[0])))
+    wanted = texts.select(text.alias("query")).filter("query <> ''").distinct()
+    rows = threats.withColumns({"_domain_key": F.lower("domain"), "_url_key": F.lower("url")})
+    by_name = rows.join(wanted, F.col("_domain_key") == F.col("query"))
+
+    size = F.length("_url_key")
+    starts = lambda n: F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
+    none = F.array().cast("array<string>")
+    grams = F.concat(
+        *[
+            F.when(
+                F.array_contains("_lengths", n), F.transform(starts(n), lambda i: F.substring(F.col("_url_key"), i, F.lit(n)))
+            ).otherwise(none)
+            for n in range(1, GRAM + 1)
+        ]
     )
+    keyed = wanted.withColumn("_gram", F.substring("query", -GRAM, GRAM))
+    lengths = keyed.agg(F.collect_set(F.length("_gram"))).scalar()
+    by_url = rows.withColumn("_lengths", lengths).withColumn("_gram", F.explode(F.array_distinct(grams))).join(keyed, "_gram").filter(F.contains(F.col("_url_key"), F.col("query")))
+    hits = by_name.select(*threats.columns, "query").unionByName(by_url.select(*threats.columns, "query"))
+
     order = F.struct(*[F.col(r) if isinstance(r, str) else r for r in rank], *[F.col(c) for c in threats.columns])
-    found = threats.withColumn("query", F.explode(hits)).groupBy("query").agg(F.min(order).alias("_first"))
+    found = hits.groupBy("query").agg(F.min(order).alias("_first"))
     return found.select("query", *[F.col("_first")[c].alias(c) for c in threats.columns])
 
 

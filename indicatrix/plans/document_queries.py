@@ -7,7 +7,9 @@ engines understand; the checking SQL states the expected rows directly.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from indicatrix import schemas
 from indicatrix.operators import layers
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables, now
@@ -98,7 +100,54 @@ def a13_listed_days(t: Tables):
 )
 def a14_newest_rows(t: Tables):
     order = [F.col("first_seen").desc(), "domain", "url", "source", "label"]
-    return tables.newest_rows(t.label_row, "ingest_date", order).drop("ingest_date")
+    return tables.newest_rows(t.label_row, "ingest_date", order, runs=50, rows=20_000).drop("ingest_date")
+
+
+@query("a11_damaged_file", """SELECT o_orderkey, CAST(1 AS BIGINT) AS unreadable FROM orders""")
+def a11_damaged_file(t: Tables):
+    """A table with one damaged file among good ones: all other rows, and how many files were left out."""
+    path = scratch_dir(t.spark, "damaged")
+    rows = t.orders.select("o_orderkey")
+    rows.filter("o_orderkey % 2 = 0").write.mode("append").parquet(path)
+    rows.filter("o_orderkey % 2 <> 0").write.mode("append").parquet(path)
+    t.spark.range(1).select(F.lit("no Parquet").alias("value")).coalesce(1).write.mode("append").option("compression", "none").text(f"{path}-text")
+    broken = t.spark.read.format("binaryFile").load(f"{path}-text").first()["path"]
+    source, files = tables._files(t.spark, broken)
+    files.rename(source, tables._files(t.spark, f"{path}/part-damaged.parquet")[0])
+    stored = tables.read_table(t.spark, path, rows.schema, skip_unreadable=True)
+    skipped = tables.unreadable_files(t.spark, path, rows.schema).agg(F.count("*")).scalar()
+    return stored.withColumn("unreadable", skipped)
+
+
+@query("a17_empty_table", "SELECT name, CAST(0 AS BIGINT) AS rows, columns FROM (SELECT 'labels_union' AS name, CAST(7 AS BIGINT) AS columns) WHERE (SELECT count(*) FROM orders) > 0")
+def a17_empty_table(t: Tables):
+    """A table that nobody has written yet reads as empty, with all its columns."""
+    union = tables.read_table(t.spark, scratch_dir(t.spark, "never-written"), schemas.LABELS_UNION)
+    return union.agg(F.count("*").alias("rows")).select(F.lit("labels_union").alias("name"), "rows", F.lit(len(union.columns)).cast("bigint").alias("columns"))
+
+
+@query(
+    "a18_skip_rules",
+    """SELECT 1 AS step, 'no_input' AS answer, CAST(0 AS BIGINT) AS rows UNION ALL SELECT 2, 'history', 0 UNION ALL SELECT 3, 'written', count(*) FROM orders
+    UNION ALL SELECT 4, 'kept', count(*) FROM orders UNION ALL SELECT 5, 'no_input', count(*) FROM orders""",
+)
+def a18_skip_rules(t: Tables):
+    """Publishing nothing, a past day, a day, a day with too few rows, and nothing again; with the rows there after each."""
+    path, day = scratch_dir(t.spark, "published"), "2024-02-01"
+    rows = t.orders.select("o_orderkey")
+    attempts = [
+        (rows.filter("o_orderkey < 0"), {}),
+        (rows, {"today": "2024-02-02"}),
+        (rows, {"min_rows": 50}),
+        (rows.limit(3), {"min_rows": 50}),
+        (rows.filter("o_orderkey < 0"), {}),
+    ]
+    schema = T.StructType([*rows.schema.fields, T.StructField(tables.PARTITION, T.DateType())])
+    answers = []
+    for step, (df, rules) in enumerate(attempts, 1):
+        answer = tables.publish_day(df, path, day, **rules)
+        answers.append((step, answer, tables.read_table(t.spark, path, schema).count()))
+    return t.spark.createDataFrame(answers, "step int, answer string, rows long")
 
 
 @query(
@@ -159,11 +208,12 @@ def a20_run_manifest(t: Tables):
 _CT_TEXT = """CASE WHEN event_id % 23 = 0 THEN '{"data":' WHEN event_id % 29 = 0 THEN '{"data":{"leaf_cert":{}}}'
   ELSE concat('{"data":{"leaf_cert":{"all_domains":["*.D', CAST(user_id AS STRING), '.Com.","www.d', CAST(event_id AS STRING),
     '.net","bad name!","d', CAST(event_id AS STRING), '"]}}}') END"""
-_CT_SQL = """SELECT concat('ct-', CAST(epoch_us(ts) // 1000 AS VARCHAR), '-', CAST(pos AS VARCHAR)) AS id, domain, tld,
+_CT_SQL = f"""WITH m AS (SELECT *, {_CT_TEXT} AS message FROM events)
+  SELECT concat('ct-', CAST(epoch_us(ts) // 1000 AS VARCHAR), '-', CAST(pos AS VARCHAR), '-', substr(md5(message), 1, 16)) AS id, domain, tld,
     strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS event_ts, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS producer_ts, 'certstream' AS source
-  FROM (SELECT ts, 0 AS pos, concat('d', CAST(user_id AS VARCHAR), '.com') AS domain, 'com' AS tld, event_id FROM events
-    UNION ALL SELECT ts, 1, concat('www.d', CAST(event_id AS VARCHAR), '.net'), 'net', event_id FROM events
-    UNION ALL SELECT ts, 3, concat('d', CAST(event_id AS VARCHAR)), NULL, event_id FROM events)
+  FROM (SELECT ts, 0 AS pos, concat('d', CAST(user_id AS VARCHAR), '.com') AS domain, 'com' AS tld, event_id, message FROM m
+    UNION ALL SELECT ts, 1, concat('www.d', CAST(event_id AS VARCHAR), '.net'), 'net', event_id, message FROM m
+    UNION ALL SELECT ts, 3, concat('d', CAST(event_id AS VARCHAR)), NULL, event_id, message FROM m)
   WHERE event_id % 23 <> 0 AND event_id % 29 <> 0"""
 
 
@@ -263,7 +313,7 @@ def b5_files_of_day(t: Tables):
         F.concat(n.cast("string"), F.lit(".json")).alias("url"),
         (F.col("o_orderdate") + F.make_dt_interval(hours=(n % 24).cast("int"))).alias("last_modified"),
     )
-    return documents.files_of_day(index, "1998-03-05")
+    return documents.files_of_day(index, "1998-03-05", newest=100)
 
 
 # -- registration and address data ------------------------------------------------------------

@@ -47,22 +47,22 @@ def h1_top_threats(t: Tables):
     return gold.top_threats(threats(t))
 
 
-@query("h2_recent_threats", f'SELECT {_THREAT} FROM exported ORDER BY "firstSeen" DESC, domain, url LIMIT 100')
+@query("h2_recent_threats", f'SELECT {_THREAT} FROM threat_row ORDER BY "firstSeen" DESC, domain, url LIMIT 100')
 def h2_recent_threats(t: Tables):
-    return gold.recent(gold.top_threats(threats(t)))
+    return gold.recent(threats(t))
 
 
 @query(
     "h3_high_risk_threats",
-    f"""SELECT {_THREAT} FROM exported WHERE "riskLevel" IN ('CRITICAL', 'HIGH') ORDER BY "riskScore" DESC, domain, url LIMIT 1000""",
+    f"""SELECT {_THREAT} FROM threat_row WHERE "riskLevel" IN ('CRITICAL', 'HIGH') ORDER BY "riskScore" DESC, domain, url LIMIT 1000""",
 )
 def h3_high_risk_threats(t: Tables):
-    return gold.high_risk(gold.top_threats(threats(t)))
+    return gold.high_risk(threats(t))
 
 
 @query("h4_top_domains", "SELECT registered_domain, score FROM scored_domain ORDER BY score DESC, registered_domain LIMIT 20")
 def h4_top_domains(t: Tables):
-    return t.scored_domain.orderBy(F.col("score").desc(), "registered_domain").limit(20)
+    return risk.top_domains(t.scored_domain)
 
 
 @query(
@@ -95,32 +95,32 @@ _TOPS = {"topCountries": "country", "topRegistrars": "registrar"}
 @query(
     "f12_statistic_counts",
     " UNION ALL ".join(
-        [f"SELECT '{k}' AS kind, {c} AS value, count(*) AS count FROM exported GROUP BY {c}" for k, c in _COUNTS.items()]
+        [f"SELECT '{k}' AS kind, {c} AS value, count(*) AS count FROM threat_row GROUP BY {c}" for k, c in _COUNTS.items()]
         + ["""SELECT 'riskDistribution', v, CAST(0 AS BIGINT) FROM (SELECT unnest(['CRITICAL', 'HIGH', 'MEDIUM', 'LOW']) AS v)
-             WHERE v NOT IN (SELECT "riskLevel" FROM exported)"""]
+             WHERE v NOT IN (SELECT "riskLevel" FROM threat_row)"""]
         + [
-            f"""SELECT * FROM (SELECT '{k}', {c}, count(*) FROM exported WHERE {c} <> 'Unknown' GROUP BY {c}
+            f"""SELECT * FROM (SELECT '{k}', {c}, count(*) FROM threat_row WHERE {c} <> 'Unknown' GROUP BY {c}
                 ORDER BY count(*) DESC, {c} LIMIT 10)"""
             for k, c in _TOPS.items()
         ]
     ),
 )
 def f12_statistic_counts(t: Tables):
-    return gold.count_tables(gold.top_threats(threats(t)))
+    return gold.count_tables(threats(t))
 
 
 @query(
     "f12_statistics",
-    """SELECT (SELECT count(*) FROM label_row) AS "totalSamples", count(*) AS "exportedCount", count(*) FILTER (WHERE "riskScore" >= 0.6) AS "maliciousCount",
+    """SELECT (SELECT count(*) FROM label_row) AS "totalSamples", count(*) AS "threatCount", least(count(*), 5000) AS "exportedCount", count(*) FILTER (WHERE "riskScore" >= 0.6) AS "maliciousCount",
       count(*) FILTER (WHERE "riskScore" < 0.6) AS "benignCount", round(avg("riskScore"), 9) AS "averageRiskScore",
       count(*) FILTER (WHERE "riskLevel" IN ('CRITICAL', 'HIGH')) AS "highRiskCount", (SELECT min(first_seen) FROM label_row) AS earliest,
       (SELECT max(first_seen) FROM label_row) AS latest, count(*) FILTER (WHERE "riskLevel" = 'LOW') AS low, count(DISTINCT "threatType") AS types
-    FROM exported""",
+    FROM threat_row""",
 )
 def f12_statistics(t: Tables):
-    exported = materialise(gold.top_threats(threats(t)), "threats")
-    return gold.statistics(t.label_row, exported).select(
-        "totalSamples", "exportedCount", "maliciousCount", "benignCount", F.round("averageRiskScore", 9).alias("averageRiskScore"),
+    stored = materialise(threats(t), "threats")
+    return gold.statistics(t.label_row, stored).select(
+        "totalSamples", "threatCount", "exportedCount", "maliciousCount", "benignCount", F.round("averageRiskScore", 9).alias("averageRiskScore"),
         "highRiskCount", "dateRange.earliest", "dateRange.latest", F.col("riskDistribution")["LOW"].alias("low"),
         F.size("threatTypeDistribution").cast("bigint").alias("types"),
     )

@@ -17,7 +17,7 @@ from indicatrix.functions.domains import with_punycode, with_registered_domain
 from indicatrix.functions.text import clean_domain_anywhere
 from indicatrix.operators import features, gold, layers, lookups, matches, models, picks, quality, risk
 from indicatrix.operators.skew import lookup_join
-from indicatrix.session import materialise
+from indicatrix.session import materialise, removes_scratch
 from indicatrix.sources import documents, feeds, tables
 
 RUN = "run_date"
@@ -61,6 +61,7 @@ def _require(checks: DataFrame) -> None:
 # -- daily layers --------------------------------------------------------------------------
 
 
+@removes_scratch
 def ingest_malware(
     spark: SparkSession, at: Layout, feed: str, ds: str, run_ts: str, today: str | None = None, min_rows: int = quality.MIN_ROWS
 ) -> str:
@@ -71,6 +72,7 @@ def ingest_malware(
     return _publish_feed(bronze, at.bronze__urlhaus, ds, min_rows, today)
 
 
+@removes_scratch
 def ingest_phish(
     spark: SparkSession, at: Layout, feed: str, ds: str, run_ts: str, today: str | None = None, min_rows: int = quality.MIN_ROWS
 ) -> str:
@@ -108,6 +110,30 @@ def ingest_threat_list(spark: SparkSession, at: Layout, folder: str, ds: str, mi
     return tables.publish_day(documents.lists_as_text(events), at.silver__misp_osint, ds, min_rows)
 
 
+def changed_files(index_pages: DataFrame, base_url: str, ds: str, newest: int | None = None) -> DataFrame:
+    """The listed threat documents that changed on the day, to be fetched and then read by ``ingest_threat_list``."""
+    return documents.files_of_day(documents.directory_index(index_pages, base_url), ds, newest=newest)
+
+
+def ingest_search_results(spark: SparkSession, at: Layout, folder: str, ds: str, min_rows: int = 0) -> str:
+    """Attribute-search responses, one per file, as published list rows."""
+    found = documents.attribute_search(spark.read.text(folder, wholetext=True))
+    return tables.publish_day(documents.lists_as_text(found), at.silver__misp, ds, min_rows)
+
+
+def lookup_coverage(spark: SparkSession, at: Layout, ds: str) -> DataFrame:
+    """Shares of the day's domains that the lookups cover."""
+    labels = tables.listed_days(labels_of(spark, at), [ds])
+    dns = _day(_read(spark, at.lookups__dns_geo, schemas.DNS_GEO), ds)
+    return quality.coverage(labels, dns, _day(_whois_columns(spark, at), ds))
+
+
+def audit(spark: SparkSession, at: Layout, table: str, schema: T.StructType, date: str, expected: DataFrame) -> DataFrame:
+    """The audit rows of a daily table: ``expected`` (source, ingest_date) partitions, absent and empty ones too."""
+    rows = _read(spark, f"{at.root}/{table}", schema)
+    return quality.partition_audit(rows, date, table.split("/")[0], expected=expected)
+
+
 def labels_of(spark: SparkSession, at: Layout) -> DataFrame:
     rows = _read(spark, at.silver__labels_union, schemas.LABELS_UNION)
     return with_registered_domain(rows, "domain").filter("registered_domain <> ''")
@@ -122,26 +148,40 @@ def domains_of_day(spark: SparkSession, at: Layout, ds: str) -> DataFrame:
     return with_punycode(names, "domain")
 
 
+@removes_scratch
 def merge_dns(
-    spark: SparkSession, at: Layout, ds: str, now: str, resolved: DataFrame, answers: DataFrame, provider: str = "ip_api"
+    spark: SparkSession,
+    at: Layout,
+    ds: str,
+    now: str,
+    resolved: DataFrame,
+    answers: DataFrame,
+    provider: str = "ip_api",
+    blocks: DataFrame | None = None,
 ) -> DataFrame:
     """Bring newly resolved pairs and landed geo answers into the cache and publish the day.
 
-    ``resolved`` has (puny_domain, ip), ``answers`` (ip, provider, value).
+    ``resolved`` has (puny_domain, ip), ``answers`` (ip, provider, value). ``blocks``,
+    network blocks with geo attributes, stand for a local database and go before answers.
     """
     path = at.lookups__dns_geo_cache
     cache, version = tables.read_cache(spark, path, schemas.DNS_GEO)
     names = domains_of_day(spark, at, ds).select("puny_domain")
     pairs = materialise(lookups.missing_pairs(resolved.join(names, "puny_domain", "left_semi"), cache), "pairs")
-    new = lookups.attach_geo(pairs, documents.geo_rows(answers))
+    geo = documents.geo_rows(answers)
+    if blocks is not None:
+        # The local database: attributes of the network block that holds the address.
+        geo = lookups.locate_ips(pairs.select("ip"), blocks).filter("network IS NOT NULL").drop("network")
+    new = lookups.attach_geo(pairs, geo)
     tables.write_version(lookups.upsert_geo(cache, new), path, version + 1)
     merged, _ = tables.read_cache(spark, path, schemas.DNS_GEO)
+    tables.drop_versions(spark, path)
     daily = lookups.daily_snapshot(merged, names, "puny_domain")
     tables.publish_day(daily, at.lookups__dns_geo, ds)
     published = _day(_read(spark, at.lookups__dns_geo, schemas.DNS_GEO), ds)
     manifest = materialise(tables.run_manifest("dns_ip_geo_ingest", ds, now, names, pairs, published, merged, provider), "manifest")
     tables.write_json(manifest, f"{at.lookups__manifests}/ds={ds}")
-    return manifest
+    return spark.read.json(f"{at.lookups__manifests}/ds={ds}")
 
 
 def whois_to_fetch(spark: SparkSession, at: Layout, ds: str, now: str, ttl_days: int = 30, error_days: int = 7) -> DataFrame:
@@ -155,6 +195,7 @@ def merge_whois(spark: SparkSession, at: Layout, ds: str, responses: DataFrame)
     cache, version = tables.read_cache(spark, path, schemas.WHOIS)
     tables.write_version(lookups.upsert_whois(cache, documents.whois_rows(responses)), path, version + 1)
     merged, _ = tables.read_cache(spark, path, schemas.WHOIS)
+    tables.drop_versions(spark, path)
     names = domains_of_day(spark, at, ds).select("domain")
     return tables.publish_day(lookups.daily_snapshot(merged, names, "domain"), at.lookups__whois, ds)
 
@@ -171,6 +212,7 @@ def _attrs(spark: SparkSession, at: Layout) -> DataFrame:
     return _read(spark, at.silver__misp_osint, schemas.THREAT_LIST_TEXT)
 
 
+@removes_scratch
 def train_model(
     spark: SparkSession,
     at: Layout,
@@ -195,6 +237,7 @@ def train_model(
     return models.register(model, at.models, f"model-{ds}", now, counts, measures)
 
 
+@removes_scratch
 def publish_threats(
     spark: SparkSession, at: Layout, ds: str, now: str, spec: models.FeatureSpec = models.FeatureSpec()
 ) -> DataFrame | None:
@@ -206,13 +249,14 @@ def publish_threats(
     whois = _day(_whois_columns(spark, at), ds)
     rows = gold.scored_rows(labels, dns, whois, _day(_attrs(spark, at), ds), _at(now))
     scored = materialise(models.score(models.newest(spark, at.models), rows, spec), "scored")
-    # At most the export limit, and read by all that follows.
-    exported = materialise(gold.top_threats(gold.assemble(scored)), "threats")
-    tables.write_json(gold.top_threats(exported), f"{at.gold__threats}/ds={ds}")
-    tables.write_json(gold.recent(exported), f"{at.gold__threats_recent}/ds={ds}")
-    tables.write_json(gold.high_risk(exported), f"{at.gold__threats_high_risk}/ds={ds}")
-    stats = materialise(gold.statistics(scored, exported), "statistics")
-    _require(quality.export_checks(exported).unionByName(quality.override_checks(exported)).unionByName(quality.statistics_checks(stats)))
+    # The whole threat table of the day, read by all that follows; the documents are its named excerpts.
+    tables.write_day(gold.assemble(scored), at.gold__threat_table, ds)
+    threats = _day(_read(spark, at.gold__threat_table, schemas.THREAT), ds)
+    tables.write_json(gold.top_threats(threats), f"{at.gold__threats}/ds={ds}")
+    tables.write_json(gold.recent(threats), f"{at.gold__threats_recent}/ds={ds}")
+    tables.write_json(gold.high_risk(threats), f"{at.gold__threats_high_risk}/ds={ds}")
+    stats = materialise(gold.statistics(scored, threats), "statistics")
+    _require(quality.export_checks(threats).unionByName(quality.override_checks(threats)).unionByName(quality.statistics_checks(stats)))
     tables.write_json(stats, f"{at.gold__statistics}/ds={ds}")
     run = F.lit(ds).alias(RUN)
     published = F.when(F.col("is_in_misp") == 1, 1.0).otherwise(F.col("score")).alias("score")
@@ -229,7 +273,7 @@ def publish_threats(
     drift = latest.withColumnRenamed(RUN, "date").select(F.lit(now).alias("generated_at"), "*", levels)
     tables.write_json(drift, f"{at.gold__drift}/ds={ds}")
     tables.write_json(models.newest_meta(spark, at.models), f"{at.gold__model_meta}/ds={ds}")
-    return exported
+    return threats
 
 
 # -- certificate events ------------------------------------------------------------------------
@@ -240,9 +284,9 @@ def ct_domains(events: DataFrame, runs: int | None = None, rows: int | None = No
 
     ``runs`` and ``rows`` keep only the newest days and events where given.
     """
-    if runs or rows:
+    if runs is not None or rows is not None:
         order = [F.col("ingest_ts").desc(), "domain"]
-        events = tables.newest_rows(events, "ds", order, runs or 50, rows or 20_000)
+        events = tables.newest_rows(events, "ds", order, runs, rows)
     named = events.select(clean_domain_anywhere(F.col("domain")).alias("domain"), "event_ts", "source", "ingest_ts")
     known = with_registered_domain(named, "domain").filter("registered_domain <> ''")
     return picks.first_ct(known)

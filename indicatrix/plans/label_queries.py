@@ -193,6 +193,20 @@ def q8_partition_audit(t: Tables):
     return audit.withColumns({**days, "match_ratio": F.round("match_ratio", 6)})
 
 
+@query(
+    "q8_expected_partitions",
+    """SELECT source, strftime(date_trunc('month', first_seen), '%Y-%m-%d') AS ds, count(*) FILTER (WHERE source <> 'openphish' OR month(first_seen) <> 1) AS rows,
+      count(*) FILTER (WHERE source <> 'openphish' OR month(first_seen) <> 1) = 0 AS is_empty
+    FROM label_row GROUP BY source, date_trunc('month', first_seen)""",
+)
+def q8_expected_partitions(t: Tables):
+    """One source lacks its partitions of every January; the audit shows them as empty."""
+    months = t.label_row.withColumn("ingest_date", F.trunc("ingest_date", "month"))
+    rows = months.filter((F.col("source") != "openphish") | (F.month("first_seen") != 1))
+    audit = quality.partition_audit(rows, "first_seen", "bronze", expected=months.select("source", "ingest_date"))
+    return audit.select("source", F.date_format("ds", "yyyy-MM-dd").alias("ds"), "rows", "is_empty")
+
+
 def _faulty_threats(t: Tables):
     from indicatrix.plans.gold_queries import threats
 
@@ -237,16 +251,23 @@ def q10_override_checks(t: Tables):
 
 @query(
     "q9_statistics_checks",
-    """SELECT unnest(['counts_add_up', 'malicious_within_total', 'levels_sum', 'high_risk_recount', 'mean_range']) AS "check",
-      CAST(0 AS BIGINT) AS failed_rows""",
+    """WITH s AS (SELECT count(*) AS n, count(*) FILTER (WHERE "riskScore" >= 0.6) AS bad, count(*) FILTER (WHERE "riskScore" < 0.6) AS good,
+        count(*) FILTER (WHERE "riskLevel" IN ('CRITICAL', 'HIGH', 'MEDIUM', 'LOW')) AS levels, count(*) FILTER (WHERE "riskLevel" IN ('CRITICAL', 'HIGH')) AS high,
+        avg("riskScore") AS mean, (SELECT count(*) FROM label_row) AS total FROM threat_row)
+    SELECT 'counts_add_up' AS "check", CAST(bad + good + 1 <> n AS BIGINT) AS failed_rows FROM s
+    UNION ALL SELECT 'malicious_within_total', CAST(bad + 1 > total AS BIGINT) FROM s
+    UNION ALL SELECT 'levels_sum', CAST(levels <> n AS BIGINT) FROM s
+    UNION ALL SELECT 'high_risk_recount', CAST(high + n <> high AS BIGINT) FROM s
+    UNION ALL SELECT 'mean_range', CAST(mean < 0 OR mean > 1 AS BIGINT) FROM s""",
 )
 def q9_statistics_checks(t: Tables):
     from indicatrix.plans.gold_queries import threats
     from indicatrix.session import materialise
 
-    rows = threats(t)
-    exported = materialise(gold.top_threats(rows), "threats")
-    return quality.statistics_checks(gold.statistics(t.label_row, exported))
+    stats = gold.statistics(t.label_row, materialise(threats(t), "threats"))
+    # One count too many, and another that does not agree with the levels.
+    faulty = stats.withColumns({"maliciousCount": F.col("maliciousCount") + 1, "highRiskCount": F.col("highRiskCount") + F.col("threatCount")})
+    return quality.statistics_checks(faulty)
 
 
 # -- one row per key -----------------------------------------------------------------------------

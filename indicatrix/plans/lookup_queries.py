@@ -149,8 +149,8 @@ def e11_coverage(t: Tables):
 
 @query(
     "e12_locate_ips",
-    """SELECT DISTINCT ip, CASE WHEN family = 6 THEN NULL WHEN s_nationkey % 3 = 0 THEN '10.0.0.0/8' ELSE concat('10.0.', CAST(s_nationkey AS VARCHAR), '.0/24') END AS network,
-      CASE WHEN family = 6 THEN NULL WHEN s_nationkey % 3 = 0 THEN 'WIDE' ELSE n_name END AS country
+    """SELECT DISTINCT ip, CASE WHEN family = 6 THEN '2001:db8::/32' WHEN s_nationkey % 3 = 0 THEN '10.0.0.0/8' ELSE concat('10.0.', CAST(s_nationkey AS VARCHAR), '.0/24') END AS network,
+      CASE WHEN family = 6 THEN 'SIX' WHEN s_nationkey % 3 = 0 THEN 'WIDE' ELSE n_name END AS country
     FROM supplier_ip JOIN nation ON s_nationkey = n_nationkey""",
 )
 def e12_locate_ips(t: Tables):
@@ -159,7 +159,11 @@ def e12_locate_ips(t: Tables):
         F.concat(F.lit("10.0."), n.cast("string"), F.lit(".0/24")).alias("network"), F.col("n_name").alias("country")
     )
     wide = t.nation.filter(n == 0).select(F.lit("10.0.0.0/8").alias("network"), F.lit("WIDE").alias("country"))
-    return lookups.locate_ips(t.supplier_ip, narrow.unionByName(wide))
+    six = t.region.select(
+        F.when(F.col("r_regionkey") == 0, "2001:db8::/32").otherwise(F.concat(F.lit("2001:db8:"), F.col("r_regionkey").cast("string"), F.lit("::/48"))).alias("network"),
+        F.lit("SIX").alias("country"),
+    )
+    return lookups.locate_ips(t.supplier_ip, narrow.unionByName(wide).unionByName(six))
 
 
 # -- aggregates --------------------------------------------------------------------------------------
@@ -192,17 +196,22 @@ _KEYED_SQL = """(SELECT *, 'com' AS tld,
   FROM feature_row)"""
 
 
+_ENTROPY_SQL = """(SELECT registered_domain, CASE WHEN bits <= 2.5 THEN 'entropy:low' WHEN bits <= 3.5 THEN 'entropy:med' ELSE 'entropy:high' END AS entropy_bucket
+  FROM (SELECT registered_domain, -sum(k * 1.0 / size * log2(k * 1.0 / size)) AS bits
+    FROM (SELECT registered_domain, length(registered_domain) AS size, ch, count(*) AS k
+      FROM (SELECT registered_domain, unnest(string_split(registered_domain, '')) AS ch FROM label_pick) GROUP BY ALL) GROUP BY registered_domain))"""
+
+
 @query(
     "f4_label_risk",
     f"""SELECT key, value, count(*) AS count, CAST(sum(label) AS BIGINT) AS phish, CAST(count(*) - sum(label) AS BIGINT) AS benign, round(avg(label), 9) AS phish_rate
-    FROM (SELECT label, unnest(['tld', 'registrar', 'age_bucket', 'ip_bucket', 'len_bucket', 'digit_bucket', 'sample_country']) AS key,
-        unnest([tld, registrar, age_bucket, ip_bucket, len_bucket, digit_bucket, sample_country]) AS value FROM {_KEYED_SQL})
+    FROM (SELECT label, unnest(['tld', 'registrar', 'age_bucket', 'ip_bucket', 'len_bucket', 'digit_bucket', 'sample_country', 'entropy_bucket']) AS key,
+        unnest([tld, registrar, age_bucket, ip_bucket, len_bucket, digit_bucket, sample_country, entropy_bucket]) AS value FROM {_KEYED_SQL} k JOIN {_ENTROPY_SQL} USING (registered_domain))
     WHERE value IS NOT NULL GROUP BY key, value HAVING count(*) >= 30""",
 )
 def f4_label_risk(t: Tables):
-    keys = [k for k in risk.GROUP_KEYS if k != "entropy_bucket"]
     rows = risk.with_group_keys(feature_rows(t))
-    return risk.label_risk_all(rows, keys).withColumn("phish_rate", F.round("phish_rate", 9))
+    return risk.label_risk_all(rows, risk.GROUP_KEYS).withColumn("phish_rate", F.round("phish_rate", 9))
 
 
 @query(

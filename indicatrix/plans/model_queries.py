@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indicatrix.functions.buckets import risk_level
 from indicatrix.operators import features, gold, layers, metrics, models
 from indicatrix.plans.lookup_queries import feature_rows, listed
 from indicatrix.plans.registry import query
-from indicatrix.plans.standins import Tables
+from indicatrix.plans.standins import Tables, now
 from indicatrix.session import scratch_dir
 
-# Narrow hashed blocks and few rounds, so that the queries train in seconds.
-SMALL = models.FeatureSpec(gram_width=256, category_width=64)
-ROUNDS, DEPTH = 5, 3
+SPEC = models.FeatureSpec()
+# 300 rounds take hours of single-machine time here; the trees have full width and depth.
+ROUNDS = 5
 
 
 def training_rows(t: Tables) -> DataFrame:
@@ -36,20 +38,24 @@ def k1_char_ngrams(t: Tables):
     return models.gram_table(t.labels_rd.select("registered_domain").distinct())
 
 
-@query("k1_gram_vectors")
+@query("k1_gram_vectors", "SELECT DISTINCT domain AS registered_domain, CASE WHEN length(domain) >= 3 THEN 1.0 ELSE 0.0 END AS squared_length FROM label_row")
 def k1_gram_vectors(t: Tables):
-    """Length and number of entries of each hashed gram vector, at full width."""
+    """Length of each hashed gram vector, at full width."""
     spec = models.FeatureSpec()
     hashed = reduce(lambda df, stage: stage.transform(df), models.vector_stages(spec)[:2], models.prepare(t.labels_rd.select("registered_domain").distinct(), spec))
     values = vector_to_array("gram_vector")
     return hashed.select(
         "registered_domain",
         F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x), 6).alias("squared_length"),
-        F.size(F.filter(values, lambda x: x > 0)).alias("entries"),
     )
 
 
-@query("k2_category_vectors")
+@query(
+    "k2_category_vectors",
+    """SELECT registered_domain, sample_asn, sample_isp, sample_country, registrar, status,
+      CAST((sample_asn IS NOT NULL)::INT + (sample_isp IS NOT NULL)::INT + (sample_country IS NOT NULL)::INT + (registrar IS NOT NULL)::INT
+        + (status IS NOT NULL)::INT AS INTEGER) AS categories FROM feature_row""",
+)
 def k2_category_vectors(t: Tables):
     """How many hashed categories each row has."""
     spec = models.FeatureSpec()
@@ -72,9 +78,9 @@ def k3_numeric_block(t: Tables):
     return rows.withColumns({c: F.round(c, 6) for c in ("age_days", "days_to_expiry")})
 
 
-@query("k4_vector_widths")
+@query("k4_vector_widths", "SELECT 'lexical' AS name, count(*) AS rows, CAST(4106 AS INTEGER) AS width FROM feature_row UNION ALL SELECT 'full', count(*), 4372 FROM feature_row")
 def k4_vector_widths(t: Tables):
-    """Widths of the lexical and the full vector, and the range of their non-zero counts."""
+    """Rows and widths of the lexical and the full vector."""
     spec = models.FeatureSpec()
     prepared = models.prepare(features.with_membership(feature_rows(t), listed(t)), spec)
     parts = []
@@ -87,7 +93,6 @@ def k4_vector_widths(t: Tables):
                 F.lit(name).alias("name"),
                 F.col("s.count").alias("rows"),
                 F.size(nonzero).alias("width"),
-                F.size(F.filter(nonzero, lambda x: x > 0)).alias("used"),
             )
         )
     return parts[0].unionByName(parts[1])
@@ -147,45 +152,81 @@ def k14_model_comparison(t: Tables):
     return table.withColumns({c: F.round(c, 9) for c in ("roc_auc", "pr_auc", "recall_at_1pct")})
 
 
-def _fitted(t: Tables, estimator_of, full: bool = True) -> tuple[PipelineModel, DataFrame]:
+def _fitted(t: Tables, estimator_of, full: bool = True) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """A model of full width, its training rows and the test rows."""
     rows = training_rows(t)
-    train = rows.filter(~F.col("is_test"))
-    return models.train(train, estimator_of(train.count()), SMALL, full), rows.filter("is_test")
+    train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
+    return models.train(train, estimator_of(train.count()), SPEC, full), train, test
+
 
+_TEST_ROWS = "(SELECT CAST(sum(n) AS BIGINT) FROM (SELECT ceil(count(*) * 0.25) AS n FROM feature_row GROUP BY label))"
 
-@query("k10_logistic_lexical")
-def k10_logistic_lexical(t: Tables):
-    model, test = _fitted(t, lambda n: models.logistic(n, max_iter=20), full=False)
-    return models.evaluate(model, test, SMALL)
 
+def _logistic_facts(t: Tables, full: bool) -> DataFrame:
+    """Test rows scored, and whether the weighted residuals of the training rows cancel, as they do at the optimum."""
+    model, train, test = _fitted(t, models.logistic, full)
+    weighted = models.score(model, models.class_weights(train), SPEC)
+    residual = F.abs(F.sum(F.col("weight") * (F.col("score") - F.col("label")))) / F.sum("weight")
+    in_range = F.count_if(F.col("score").between(0, 1))
+    scored = models.score(model, test, SPEC).agg(in_range.alias("test_rows"))
+    return scored.withColumn("balanced", weighted.agg(residual < 1e-3).scalar())
 
-@query("k10_logistic_full")
-def k10_logistic_full(t: Tables):
-    model, test = _fitted(t, lambda n: models.logistic(n, max_iter=20))
-    return models.evaluate(model, test, SMALL)
 
+query("k10_logistic_lexical", f"SELECT {_TEST_ROWS} AS test_rows, true AS balanced")(lambda t: _logistic_facts(t, False))
+query("k10_logistic_full", f"SELECT {_TEST_ROWS} AS test_rows, true AS balanced")(lambda t: _logistic_facts(t, True))
 
-@query("k11_boosted_trees")
+
+@query("k11_boosted_trees", f"SELECT {_TEST_ROWS} AS test_rows, CAST({ROUNDS} AS INTEGER) AS trees, true AS learned")
 def k11_boosted_trees(t: Tables):
-    model, test = _fitted(t, lambda n: models.boosted(rounds=ROUNDS, depth=DEPTH))
-    return models.evaluate(model, test, SMALL)
+    """Test rows scored, trees, and whether the weighted training loss is below that of a constant."""
+    model, train, test = _fitted(t, lambda n: models.boosted(rounds=ROUNDS))
+    score = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), F.col("score")))
+    loss = F.sum(-F.col("weight") * F.log(F.when(F.col("label") == 1, score).otherwise(1 - score))) / F.sum("weight")
+    trained = models.score(model, models.class_weights(train), SPEC).agg(loss < math.log(2)).scalar()
+    rows = models.score(model, test, SPEC).agg(F.count_if(F.col("score").between(0, 1)).alias("test_rows"))
+    return rows.withColumns({"trees": F.lit(model.stages[-1].getNumTrees), "learned": trained})
 
 
-@query("k12_model_registry")
+@query("k12_model_registry", f"SELECT {_TEST_ROWS} AS rows, CAST(0 AS BIGINT) AS differences")
 def k12_model_registry(t: Tables):
-    """Register a model, load the newest and score with it."""
+    """Register a model, load the newest and score with both."""
     registry = scratch_dir(t.spark, "registry")
-    model, test = _fitted(t, lambda n: models.logistic(n, max_iter=5))
+    model, _, test = _fitted(t, lambda n: models.logistic(n, max_iter=20))
     counts = features.dataset_counts(test).first().asDict()
     models.register(model, registry, "logistic", "2024-02-01 00:00:00", counts, {"roc_auc": 0.5})
-    return models.score(models.newest(t.spark, registry), test, SMALL).select("registered_domain", "label", F.round("score", 6).alias("score"))
+    before = models.score(model, test, SPEC).withColumnRenamed("score", "before")
+    after = models.score(models.newest(t.spark, registry), before, SPEC)
+    return after.agg(F.count("*").alias("rows"), F.count_if(F.col("before") != F.col("score")).alias("differences"))
 
 
-@query("k13_scored_threats")
-def k13_scored_threats(t: Tables):
-    """Train, score all domains with their list flags and publish the threat table."""
-    from indicatrix.plans.standins import now
+@query(
+    "a21_model_metadata",
+    """SELECT 'features-2' AS model_file, count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_pos, count(*) FILTER (WHERE label = 0) AS n_neg, CAST(0.75 AS DOUBLE) AS roc_auc
+    FROM feature_row""",
+)
+def a21_model_metadata(t: Tables):
+    """The metadata row of the newest of two registered pipelines."""
+    registry = scratch_dir(t.spark, "registry")
+    rows = feature_rows(t)
+    counts = features.dataset_counts(rows).first().asDict()
+    pipeline = Pipeline(stages=models.vector_stages(SPEC)).fit(models.prepare(rows, SPEC))
+    for n, auc in ((1, 0.5), (2, 0.75)):
+        models.register(pipeline, registry, f"features-{n}", f"2024-02-0{n} 00:00:00", counts, {"roc_auc": auc})
+    meta = models.newest_meta(t.spark, registry)
+    return meta.select("model_file", "n_rows", "n_pos", "n_neg", "metrics.roc_auc")
+
 
-    model, _ = _fitted(t, lambda n: models.logistic(n, max_iter=20))
+@query(
+    "k13_scored_threats",
+    """SELECT domain, url, "firstSeen", label, source, "threatType", country, registrar, "domainAgeDays", true AS level_fits FROM threat_row""",
+)
+def k13_scored_threats(t: Tables):
+    """Train, score all domains with their list flags, publish the threat table; levels have to follow from scores."""
+    model, _, _ = _fitted(t, lambda n: models.logistic(n, max_iter=20))
     rows = gold.scored_rows(t.labels_rd, t.dns_geo, t.whois, t.misp_attr, now())
-    return gold.assemble(models.score(model, rows, SMALL))
+    threats = gold.assemble(models.score(model, rows, SPEC))
+    score, listed = F.col("riskScore"), F.col("source") == "misp_osint"
+    # Published scores are rounded, levels are not.
+    near = F.exists(F.array(*[F.lit(x) for x in (0.2, 0.6, 0.9)]), lambda x: F.abs(score - x) < 1e-4)
+    fits = F.when(listed, (score == 1.0) & (F.col("riskLevel") == "CRITICAL")).otherwise(near | (F.col("riskLevel") == risk_level(score)))
+    return threats.withColumn("level_fits", fits).drop("riskScore", "riskLevel")

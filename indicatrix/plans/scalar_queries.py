@@ -159,11 +159,11 @@ def c6_registered_domain(t: Tables):
 @query(
     "c7_punycode",
     """SELECT doc_id, name, NOT regexp_matches(replace(name, 'ß', 'ss'), '[^ -~]') AS same_or_folded
-    FROM (SELECT doc_id, concat(regexp_extract(lower(text), '[a-zà-öø-ÿ]+'), '.com') AS name FROM documents)""",
+    FROM (SELECT DISTINCT doc_id, concat(unnest(regexp_extract_all(lower(text), '[a-zà-öø-ÿ]+')), '.com') AS name FROM documents)""",
 )
 def c7_punycode(t: Tables):
-    word = F.regexp_extract(F.lower("text"), "[a-zà-öø-ÿ]+", 0)
-    names = t.documents.select("doc_id", F.concat(word, F.lit(".com")).alias("name"))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-zà-öø-ÿ]+"), 0))
+    names = t.documents.select("doc_id", F.explode(words).alias("word")).select("doc_id", F.concat("word", F.lit(".com")).alias("name"))
     return domains.with_punycode(names, "name").select(
         "doc_id", "name", (~F.startswith("puny_domain", F.lit("xn--"))).alias("same_or_folded")
     )

@@ -125,28 +125,32 @@ class Tables:
 
     @cached_property
     def misp_attr(self) -> DataFrame:
-        """Threat-list attributes: names and addresses."""
+        """Threat-list attributes of every event and supplier: names, addresses and other kinds.
+
+        Two event types are indicators of other kinds, two in three names lie
+        between the labelled ones, and most addresses lie in networks nobody uses.
+        """
         kind = (
             F.when(F.col("event_type") == "error", "domain")
             .when(F.col("event_type") == "signup", "hostname")
+            .when(F.col("event_type") == "click", "sha256")
+            .when(F.col("event_type") == "view", "email-src")
             .otherwise("url")
         )
-        names = self.events.filter(F.col("event_id") % 40 == 0).select(
+        names = self.events.select(
             "event_id",
             F.col("ts").alias("first_seen"),
             F.col("event_type").alias("category"),
             kind.alias("type"),
-            _name(F.col("event_id")).alias("indicator"),
+            _name(F.col("event_id") * 3).alias("indicator"),
         )
-        addresses = self.supplier.filter(F.col("s_suppkey") % 33 == 1).select(
-            (F.col("s_suppkey") + 1_000_000).alias("event_id"),
+        n = F.col("s_suppkey")
+        addresses = self.supplier.select(
+            (n + 1_000_000).alias("event_id"),
             F.lit("2024-01-15 00:00:00").cast("timestamp").alias("first_seen"),
             F.lit("network").alias("category"),
-            F.when(F.col("s_suppkey") % 2 == 0, "ip-src").otherwise("ip-dst").alias("type"),
-            F.concat(
-                F.lit("10.0."), F.col("s_nationkey").cast("string"), F.lit("."),
-                (F.col("s_suppkey") % 250).cast("string"),
-            ).alias("indicator"),
+            F.when(n % 2 == 0, "ip-src").otherwise("ip-dst").alias("type"),
+            F.concat_ws(".", F.lit("10"), n % 33, F.col("s_nationkey"), n % 250).alias("indicator"),
         )
         return names.unionByName(addresses)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from indicatrix.plans.registry import query
@@ -61,7 +63,8 @@ def a5_dead_letter(t: Tables):
 
 @query(
     "a7_batch_metrics",
-    f"SELECT CAST(0 AS INTEGER) AS batch_id, count(*) AS rows, 2678400.0 AS p50, 2678400.0 AS p95 FROM events WHERE {_GOOD}",
+    f"""SELECT CAST(0 AS INTEGER) AS batch_id, count(*) AS rows, quantile_disc(late, 0.5) AS p50, quantile_disc(late, 0.95) AS p95
+    FROM (SELECT CASE WHEN event_id % 19 <> 0 THEN epoch(TIMESTAMP '2024-02-01') - epoch(TIMESTAMP '2024-01-01') END AS late FROM events WHERE {_GOOD})""",
 )
 def a7_batch_metrics(t: Tables):
     root = scratch_dir(t.spark, "metrics")
@@ -70,6 +73,95 @@ def a7_batch_metrics(t: Tables):
     return t.spark.read.parquet(f"{root}/out").select("batch_id", "rows", "p50", "p95")
 
 
+
+def _landed_days(t: Tables) -> str:
+    """The event texts as three files of ten days each, in order of time."""
+    folder = scratch_dir(t.spark, "landed")
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    for part in range(3):
+        t.stream_event.filter(third == part).select("value").coalesce(1).write.mode("append").text(folder)
+    return folder
+
+
+def _timed_days(t: Tables, *parts: int) -> str:
+    """Ids and times of the events of the given thirds of the month, a file each, in the given order."""
+    folder = scratch_dir(t.spark, "timed")
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    rows = t.events.select(F.col("event_id").cast("string").alias("id"), F.col("ts").cast("timestamp").alias("event_ts"), third.alias("third"))
+    for part in parts:
+        rows.filter(F.col("third") == part).drop("third").coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def _timed_stream(t: Tables, folder: str):
+    reader = t.spark.readStream.schema("id string, event_ts timestamp").option("maxFilesPerTrigger", 1)
+    return reader.parquet(folder)
+
+
+@query("a6_preview", f"SELECT CAST(event_id AS VARCHAR) AS id FROM events WHERE {_GOOD}")
+def a6_preview(t: Tables):
+    """The good events as the memory sink shows them."""
+    good, _ = events.split(_messages(t), ingest_ts=now())
+    name = f"preview_{uuid.uuid4().hex}"
+    _finish(events.preview_sink(good, ONCE, memory_table=name))
+    return t.spark.table(name).select("id")
+
+
+@query("j1_watermark", "SELECT CAST(event_id AS VARCHAR) AS id FROM events WHERE dayofmonth(ts) > 10")
+def j1_watermark(t: Tables):
+    """The first third of the month comes last and lies behind the watermark then."""
+    root = scratch_dir(t.spark, "watermark")
+    stream = _timed_stream(t, _timed_days(t, 1, 2, 0))
+    _finish(events.parquet_sink(events.dedupe(stream), f"{root}/out", f"{root}/chk", ["ds"], ONCE))
+    return t.spark.read.parquet(f"{root}/out").select("id")
+
+
+@query("j3_trigger", f"SELECT count(*) AS rows FROM events WHERE {_GOOD}")
+def j3_trigger(t: Tables):
+    """A processing-time trigger reads everything, too."""
+    root = scratch_dir(t.spark, "trigger")
+    good, _ = events.split(_messages(t), ingest_ts=now())
+    stream = events.parquet_sink(good, f"{root}/out", f"{root}/chk", None, events.Trigger(seconds=1))
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return t.spark.read.parquet(f"{root}/out").agg(F.count("*").alias("rows"))
+
+
+@query("j5_restart", f"SELECT CAST(event_id AS VARCHAR) AS id, CAST(1 AS BIGINT) AS copies FROM events WHERE {_GOOD}")
+def j5_restart(t: Tables):
+    """Three runs over one checkpoint, each with one more file: every event is written once."""
+    root, folder = scratch_dir(t.spark, "restart"), scratch_dir(t.spark, "landed")
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    for part in range(3):
+        t.stream_event.filter(third == part).select("value").coalesce(1).write.mode("append").text(folder)
+        good, _ = events.split(events.text_source(t.spark, folder), ingest_ts=now())
+        _finish(events.parquet_sink(good, f"{root}/out", f"{root}/chk", None, ONCE))
+    return t.spark.read.parquet(f"{root}/out").groupBy("id").agg(F.count("*").alias("copies"))
+
+
+@query("j6_admission", "SELECT CAST(least((dayofmonth(ts) - 1) // 10, 2) AS BIGINT) AS batch_id, count(*) AS rows FROM events WHERE event_id % 17 <> 0 GROUP BY 1")
+def j6_admission(t: Tables):
+    """One file per batch: as many batches as files, each with the rows of its file."""
+    root = scratch_dir(t.spark, "admission")
+    source = events.text_source(t.spark, _landed_days(t), files_per_trigger=1)
+    good, _ = events.split(source, ingest_ts=now())
+    _finish(events.metrics_sink(good, f"{root}/out", f"{root}/chk", ONCE))
+    return t.spark.read.parquet(f"{root}/out").select(F.col("batch_id").cast("bigint").alias("batch_id"), "rows")
+
+
+@query("j7_late_events", "SELECT count(*) AS dropped FROM events WHERE dayofmonth(ts) <= 10")
+def j7_late_events(t: Tables):
+    """How many events the stream's state reports as later than the watermark."""
+    root = scratch_dir(t.spark, "late")
+    stream = _timed_stream(t, _timed_days(t, 1, 2, 0))
+    query_ = events.parquet_sink(events.dedupe(stream), f"{root}/out", f"{root}/chk", ["ds"], ONCE)
+    _finish(query_)
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in query_.recentProgress for s in p["stateOperators"])
+    return t.spark.range(1).select(F.lit(dropped).cast("bigint").alias("dropped"))
+
+
 @query(
     "j2_stream_dedupe",
     """SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events""",

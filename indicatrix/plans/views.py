@@ -34,14 +34,14 @@ VIEWS: dict[str, str] = {
         FROM orders""",
     "misp_attr": f"""
         SELECT event_id, ts AS first_seen, event_type AS category,
-          CASE event_type WHEN 'error' THEN 'domain' WHEN 'signup' THEN 'hostname' ELSE 'url' END AS type,
-          {_NAME.format('event_id')} AS indicator
-        FROM events WHERE event_id % 40 = 0
+          CASE event_type WHEN 'error' THEN 'domain' WHEN 'signup' THEN 'hostname' WHEN 'click' THEN 'sha256' WHEN 'view' THEN 'email-src' ELSE 'url' END AS type,
+          {_NAME.format('event_id * 3')} AS indicator
+        FROM events
         UNION ALL
         SELECT 1000000 + s_suppkey, TIMESTAMP '2024-01-15 00:00:00', 'network',
           CASE WHEN s_suppkey % 2 = 0 THEN 'ip-src' ELSE 'ip-dst' END,
-          concat('10.0.', CAST(s_nationkey AS VARCHAR), '.', CAST(s_suppkey % 250 AS VARCHAR))
-        FROM supplier WHERE s_suppkey % 33 = 1""",
+          concat_ws('.', '10', CAST(s_suppkey % 33 AS VARCHAR), CAST(s_nationkey AS VARCHAR), CAST(s_suppkey % 250 AS VARCHAR))
+        FROM supplier""",
     "stream_event": """
         SELECT event_id, ts,
           CASE WHEN event_id % 17 = 0 THEN concat('{"id":"', CAST(event_id AS VARCHAR))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,9 +18,18 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows may be large: a batch for Python ends at whichever limit comes first.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # Stream state on local disk, its changes in the checkpoint, some batches kept for a restart.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "60s",
+    "spark.sql.streaming.minBatchesToRetain": "10",
 }
 
 _local_scratch: dict[str, str] = {}
+# Folders handed out while a job that removes them runs, the innermost job last.
+_handed_out: list[list[str]] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -51,11 +62,30 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if app not in _local_scratch:
             _local_scratch[app] = tempfile.mkdtemp(prefix="indicatrix-")
         base = _local_scratch[app]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _handed_out:
+        _handed_out[-1].append(path)
+    return path
+
+
+def removes_scratch(job: Callable) -> Callable:
+    """A job, ``job(spark, ...)``, whose scratch folders go when it ends. What it returns must not read them."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        _handed_out.append([])
+        try:
+            return job(spark, *args, **kwargs)
+        finally:
+            for path in _handed_out.pop():
+                target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    return run
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a small derived table once to the shared folder and read it back.
+    """Write a derived table once to the shared folder and read it back.
 
     For results that several later steps read: it cuts the lineage, survives the
     loss of executors and gives the optimizer real sizes.

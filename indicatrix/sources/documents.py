@@ -12,12 +12,8 @@ from indicatrix.functions.text import clean_domain, has_domain_chars, last_label
 from indicatrix.operators.contract import document
 from indicatrix.operators.picks import pick_one
 
-RAW_LIMIT = 200_000
-# Fixed value: a file row of a directory listing, link first, then the time.
-INDEX_ROW = (
-    r'(?is)href="([^"]+\.json)".{0,400}?</td><td[^>]*>\s*'
-    r"([0-9]{4}-[0-9]{2}-[0-9]{2}\s+[0-9]{2}:[0-9]{2}(?::[0-9]{2})?)"
-)
+# A cell that starts with a date and a time, seconds or not.
+DATE_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}(:\d{2})?"
 
 
 def _text(doc: Column, *paths: str) -> Column:
@@ -54,16 +50,15 @@ def ct_events(messages: DataFrame, seen_at: str, every_n: int = 1, source: str =
     """One event per certificate name out of messages in ``value``.
 
     Every ``every_n``-th name by position is kept, cleaned and checked. ``seen_at``
-    names the time column that stands for the arrival of a message.
+    names the time column that stands for the arrival of a message. The id ends in
+    a digest of the message, since many messages arrive in one millisecond.
     """
     names = F.from_json("value", "data struct<leaf_cert: struct<all_domains: array<string>>>")
-    raw = messages.select(seen_at, F.posexplode(names["data"]["leaf_cert"]["all_domains"]).alias("pos", "raw"))
+    raw = messages.select(seen_at, F.substring(F.md5(F.col("value").cast("binary")), 1, 16).alias("_message"), F.posexplode(names["data"]["leaf_cert"]["all_domains"]).alias("pos", "raw"))
     cleaned = raw.filter(F.col("pos") % every_n == 0).withColumn("domain", clean_domain(F.col("raw")))
     stamp = F.date_format(seen_at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return cleaned.filter(has_domain_chars(F.col("domain"))).select(
-        F.concat(F.lit("ct-"), F.unix_millis(seen_at).cast("string"), F.lit("-"), F.col("pos").cast("string")).alias(
-            "id"
-        ),
+        F.concat_ws("-", F.lit("ct"), F.unix_millis(seen_at).cast("string"), F.col("pos").cast("string"), F.col("_message")).alias("id"),
         "domain",
         last_label(F.col("domain")).alias("tld"),
         stamp.alias("event_ts"),
@@ -149,12 +144,18 @@ def lists_as_json(attrs: DataFrame) -> DataFrame:
 
 
 def directory_index(pages: DataFrame, base_url: str) -> DataFrame:
-    """(url, last_modified) of the JSON files in directory pages in ``value``."""
-    found = F.arrays_zip(
-        F.regexp_extract_all("value", F.lit(INDEX_ROW), 1).alias("link"),
-        F.regexp_extract_all("value", F.lit(INDEX_ROW), 2).alias("time"),
-    )
-    rows = pages.select(F.explode(found).alias("_r")).select("_r.*")
+    """(url, last_modified) of the JSON files in directory pages in ``value``.
+
+    A page is taken link by link: a link to a JSON file, and the first cell up to
+    the next link that starts with a date and a time.
+    """
+    row, cells = F.col("_row"), F.col("_cells")
+    rows = pages.select(F.explode(F.split("value", r"(?i)<a\b")).alias("_row"))
+    rows = rows.withColumn("link", F.regexp_extract(row, r"""(?i)^[^>]*\bhref\s*=\s*["']([^"']+\.json)["']""", 1)).filter(F.col("link") != "")
+    after = F.element_at(F.split(row, "(?i)</a>", 2), -1)
+    rows = rows.withColumn("_cells", F.transform(F.split(after, "(?i)<td[^>]*>"), lambda c: F.trim(F.regexp_replace(c, r"<[^>]*>|\s+", " "))))
+    dated = F.filter(F.slice(cells, 2, F.size(cells)), lambda c: c.rlike(DATE_TIME))
+    rows = rows.select("link", F.regexp_extract(F.get(dated, F.lit(0)), DATE_TIME, 0).alias("time"))
     folder = base_url.rsplit("/", 1)[0] + "/"
     site = "/".join(base_url.split("/", 3)[:3])
     link = F.col("link")
@@ -163,24 +164,27 @@ def directory_index(pages: DataFrame, base_url: str) -> DataFrame:
         .when(F.startswith(link, F.lit("/")), F.concat(F.lit(site), link))
         .otherwise(F.concat(F.lit(folder), F.regexp_replace(link, r"^(\./)+", "")))
     )
-    listed = rows.select(url.alias("url"), F.try_to_timestamp(F.regexp_replace("time", r"\s+", " ")).alias("last_modified"))
+    listed = rows.select(url.alias("url"), F.try_to_timestamp("time").alias("last_modified"))
     return pick_one(listed.filter(F.col("last_modified").isNotNull()), ["url"], ["last_modified"])
 
 
-def files_of_day(index: DataFrame, ds: str, hours: int = 3, newest: int = 100) -> DataFrame:
-    """Files changed on the day, a few hours either way; the newest ones only."""
+def files_of_day(index: DataFrame, ds: str, hours: int = 3, newest: int | None = None) -> DataFrame:
+    """Files changed on the day, a few hours either way; ``newest`` keeps only so many."""
     day = F.lit(ds).cast("timestamp")
     start = day - F.make_dt_interval(hours=F.lit(hours))
     end = day + F.make_dt_interval(days=F.lit(1), hours=F.lit(hours))
     changed = index.filter((F.col("last_modified") >= start) & (F.col("last_modified") < end))
-    return changed.orderBy(F.col("last_modified").desc(), "url").limit(newest)
+    return changed if newest is None else changed.orderBy(F.col("last_modified").desc(), "url").limit(newest)
 
 
 # -- registration data --------------------------------------------------------------
 
 
-def whois_rows(responses: DataFrame) -> DataFrame:
-    """WHOIS rows out of landed responses (domain, http_status, body, error, fetched_at)."""
+def whois_rows(responses: DataFrame, raw_chars: int | None = None) -> DataFrame:
+    """WHOIS rows out of landed responses (domain, http_status, body, error, fetched_at).
+
+    The raw document is kept whole unless ``raw_chars`` says how much of it.
+    """
     parsed = responses.withColumn("_doc", document(F.col("body")))
     d = F.col("_doc")
     # Entities with the role and a card of the two parts that cards have.
@@ -222,7 +226,7 @@ def whois_rows(responses: DataFrame) -> DataFrame:
         F.when(missing, "not_found").when(usable, F.nullif(statuses, F.lit(""))).alias("status"),
         F.when(usable, last_event("registration")).alias("created"),
         F.when(usable, last_event("expiration", "expire")).alias("expires"),
-        F.when(usable, F.substring("body", 1, RAW_LIMIT)).alias("raw"),
+        F.when(usable, F.col("body") if raw_chars is None else F.substring("body", 1, raw_chars)).alias("raw"),
         failure.alias("error"),
         "fetched_at",
     )

@@ -16,12 +16,12 @@ WEB_PREFIX = r"^https?://"
 def read_malware_csv(spark: SparkSession, path: str, ds: str, columns: int | None = None) -> DataFrame:
     """A malware feed snapshot: no header, comment lines skipped, columns by position.
 
-    ``columns`` is the width of the file; without it the first data line tells.
-    A file of fewer than nine columns has an unknown layout and goes through
-    ``guess_layout``.
+    ``columns`` is the width of the files; without it a line of each file tells, and
+    files that disagree are an error. A file of fewer than nine columns has an
+    unknown layout and goes through ``guess_layout``.
     """
     reader = spark.read.option("comment", "#").option("multiLine", False)
-    width = columns or len(reader.csv(path).columns)
+    width = columns or file_width(spark, path)
     names = [f"c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     # The feed quotes its fields and doubles quotes inside them.
@@ -33,6 +33,18 @@ def read_malware_csv(spark: SparkSession, path: str, ds: str, columns: int | Non
     return named.withColumnRenamed("url_status", "status")
 
 
+def file_width(spark: SparkSession, path: str) -> int:
+    """The number of columns of the first lines of all files; an error if they differ."""
+    lines = spark.read.text(path).filter(~F.startswith("value", F.lit("#")) & (F.trim("value") != ""))
+    by_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.first("value").alias("line"))
+    # Commas outside quotes.
+    columns = F.size(F.split("line", r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    widths = sorted(r[0] for r in by_file.select(columns).distinct().collect())
+    if len(widths) > 1:
+        raise ValueError(f"files of {path} have {widths} columns")
+    return widths[0] if widths else len(MALWARE_COLUMNS)
+
+
 def guess_layout(raw: DataFrame, ds: str) -> DataFrame:
     """Unknown layout: the first column that mostly holds web addresses is the URL."""
     shares = raw.agg(

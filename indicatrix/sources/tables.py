@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,16 +14,20 @@ PARTITION = "ingest_date"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    target, files = _files(spark, path)
+    return files.exists(target)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A Parquet table. Unreadable files are skipped, columns of all files are kept.
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, skip_unreadable: bool = False
+) -> DataFrame:
+    """A Parquet table; columns of all files are kept.
 
-    With a schema, a table that was never written reads as empty.
+    With a schema, a table that was never written reads as empty. A damaged file
+    is an error unless the caller asks to skip such files and reports them with
+    ``unreadable_files``.
     """
-    reader = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", False)
+    reader = spark.read.option("ignoreCorruptFiles", skip_unreadable).option("recursiveFileLookup", False)
     if schema is None:
         return reader.option("mergeSchema", True).parquet(path)
     if not path_exists(spark, path):
@@ -29,6 +35,26 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.schema(schema).parquet(path)
 
 
+def unreadable_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(path, bytes) of the table's files that a skipping read leaves out.
+
+    Names come from a listing that reads no content. Files that gave no rows are
+    read by themselves; what is damaged fails there, an empty file does not.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    files = listed.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
+    read = read_table(spark, path, schema, skip_unreadable=True).select(F.col("_metadata.file_path").alias("path")).distinct()
+    silent = files.join(read, "path", "left_anti")
+    return silent.filter(F.col("path").isin([r["path"] for r in silent.collect() if not _readable(spark, r["path"])]))
+
+
+def _readable(spark: SparkSession, file: str) -> bool:
+    try:
+        return spark.read.parquet(file).limit(1).count() >= 0
+    except Exception:  # whatever a damaged file makes its reader say
+        return False
+
+
 # -- scans that prune partitions ---------------------------------------------
 
 
@@ -43,11 +69,13 @@ def listed_days(df: DataFrame, days: list[str], partition: str = PARTITION) -> D
 
 
 def newest_rows(
-    df: DataFrame, run: str, order: list[Column | str], runs: int = 50, rows: int = 20_000
+    df: DataFrame, run: str, order: list[Column | str], runs: int | None = None, rows: int | None = None
 ) -> DataFrame:
-    """The newest ``rows`` rows out of the newest ``runs`` partitions."""
-    latest = df.select(run).distinct().orderBy(F.col(run).desc()).limit(runs)
-    return df.join(F.broadcast(latest), run, "left_semi").orderBy(*order).limit(rows)
+    """The newest ``rows`` rows out of the newest ``runs`` partitions; a limit not given does not apply."""
+    if runs is not None:
+        latest = df.select(run).distinct().orderBy(F.col(run).desc()).limit(runs)
+        df = df.join(latest, run, "left_semi")
+    return df if rows is None else df.orderBy(*order).limit(rows)
 
 
 def latest_run(df: DataFrame, run: str) -> DataFrame:
@@ -80,26 +108,48 @@ def day_exists(spark: SparkSession, path: str, ds: str) -> bool:
     return path_exists(spark, f"{path}/{PARTITION}={ds}")
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path and file system of a path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target, files = _files(spark, path)
+    files.delete(target, True)
+
+
 def publish_day(df: DataFrame | None, path: str, ds: str, min_rows: int = 0, today: str | None = None) -> str:
     """Write a partition unless a rule says otherwise; the answer tells which one.
 
     ``no_input``: nothing upstream. ``history``: a current snapshot never stands
     in for a past day. ``kept``: too few rows, the partition of an earlier run
-    stays. Too few rows on the first run are an error.
+    stays. Too few rows on the first run are an error. The plan runs once: rows are
+    written beside the table, counted there, and moved in or thrown away.
     """
     if today is not None and ds != today:
         return "history"
-    if df is None or df.isEmpty():
+    if df is None:
         return "no_input"
-    if min_rows:
-        # Counts no further than the guard needs.
-        rows = df.limit(min_rows).count()
+    spark, partition = df.sparkSession, f"{PARTITION}={ds}"
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    try:
+        df.hint("rebalance").write.parquet(f"{staging}/{partition}")
+        # Read off the files' footers.
+        rows = spark.read.schema(df.schema).parquet(f"{staging}/{partition}").count()
+        if not rows:
+            return "no_input"
         if rows < min_rows:
-            if day_exists(df.sparkSession, path, ds):
+            if day_exists(spark, path, ds):
                 return "kept"
             raise ValueError(f"{rows} rows are fewer than {min_rows}")
-    write_day(df, path, ds)
-    return "written"
+        delete_path(spark, f"{path}/{partition}")
+        source, files = _files(spark, f"{staging}/{partition}")
+        if not files.rename(source, _files(spark, f"{path}/{partition}")[0]):
+            raise OSError(f"{staging}/{partition} cannot be moved to {path}")
+        return "written"
+    finally:
+        delete_path(spark, staging)
 
 
 # -- caches that are read and replaced by one job --------------------------------
@@ -125,6 +175,12 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(v for v in found if path_exists(spark, f"{path}/version={v}/_SUCCESS"))
 
 
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the newest versions; the one before may still be read."""
+    for version in versions(spark, path)[:-keep]:
+        delete_path(spark, f"{path}/version={version}")
+
+
 def read_cache(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, int]:
     """The newest complete version and its number; empty and 0 before the first."""
     known = versions(spark, path)

@@ -13,7 +13,6 @@ from indicatrix.operators import contract
 from indicatrix.operators.picks import pick_one
 
 # Stream settings.
-MAX_PER_TRIGGER = 5000
 TRIGGER_SECONDS = 5
 LATENESS = "10 minutes"
 
@@ -34,12 +33,15 @@ class Trigger:
 # -- sources -----------------------------------------------------------------------
 
 
-def kafka_options(servers: str, topic: str, limit: int | None = MAX_PER_TRIGGER, **more: str) -> dict[str, str]:
+def kafka_options(
+    servers: str, topic: str, limit: int | None = None, start: str = "earliest", fail_on_data_loss: bool = True, **more: str
+) -> dict[str, str]:
+    """Options of the topic source. Nothing is skipped or held back unless the caller says so."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "startingOffsets": start,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         **more,
     }
     if limit:
@@ -47,7 +49,7 @@ def kafka_options(servers: str, topic: str, limit: int | None = MAX_PER_TRIGGER,
     return options
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, limit: int | None = MAX_PER_TRIGGER, **more: str):
+def kafka_source(spark: SparkSession, servers: str, topic: str, limit: int | None = None, **more):
     """Messages of a topic. Needs the Kafka connector on the class path."""
     return envelope(spark.readStream.format("kafka").options(**kafka_options(servers, topic, limit, **more)).load())
 
@@ -76,16 +78,22 @@ def split(
     return contract.good_events(parsed, ingest_ts), contract.bad_events(parsed, ingest_ts)
 
 
+def _event_time(good: DataFrame) -> Column:
+    """The event's time; where it has none that can be read, the time it came in."""
+    return F.coalesce("event_ts", "ingest_ts") if "ingest_ts" in good.columns else F.col("event_ts")
+
+
 def dedupe(good: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """One event per id. State older than the watermark is dropped, and so are later events."""
-    unique = good.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["id"])
-    return unique.withColumn("ds", F.to_date("event_ts"))
+    timed = good.withColumn("_time", _event_time(good)).withWatermark("_time", lateness)
+    return timed.dropDuplicatesWithinWatermark(["id"]).withColumn("ds", F.to_date("_time")).drop("_time")
 
 
 def dedupe_batch(good: DataFrame) -> DataFrame:
-    """The batch twin: the earliest event of each id."""
-    unique = pick_one(good, ["id"], ["event_ts"])
-    return unique.withColumn("ds", F.to_date("event_ts"))
+    """The batch twin: the earliest event of each id; events without any time come last."""
+    timed = good.withColumn("_time", _event_time(good))
+    unique = pick_one(timed, ["id"], [F.col("_time").asc_nulls_last()])
+    return unique.withColumn("ds", F.to_date("_time")).drop("_time")
 
 
 # -- sinks -----------------------------------------------------------------------------
@@ -143,16 +151,22 @@ def metrics_sink(df: DataFrame, path: str, checkpoint: str, trigger: Trigger = T
 def fan_out_writer(root: str, ingest_ts: Column | None = None) -> Callable[[DataFrame, int], None]:
     """Good rows, rejected rows and metrics out of one read of a batch of parsed messages.
 
-    Each part goes to a folder of the batch's own, so a replay replaces it.
+    Rows lie below their day and batch, so readers prune by day and a replay replaces its own rows.
     """
 
+    def put(df: DataFrame, part: str, *by: str) -> None:
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by).parquet(f"{root}/{part}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            good = contract.good_events(batch, ingest_ts)
-            good.write.mode("overwrite").parquet(f"{root}/good/batch_id={batch_id}")
-            contract.bad_events(batch, ingest_ts).write.mode("overwrite").parquet(f"{root}/bad/batch_id={batch_id}")
-            batch_metrics(good).write.mode("overwrite").parquet(f"{root}/metrics/batch_id={batch_id}")
+            number = F.lit(batch_id).cast("bigint")
+            good = contract.good_events(batch, ingest_ts).withColumn("batch_id", number)
+            bad = contract.bad_events(batch, ingest_ts).withColumn("batch_id", number)
+            put(good.withColumn("ds", F.to_date(_event_time(good))), "good", "ds", "batch_id")
+            put(bad.withColumn("ds", F.to_date("ingest_ts")), "bad", "ds", "batch_id")
+            put(batch_metrics(good).withColumn("batch_id", number), "metrics", "batch_id")
         finally:
             batch.unpersist()
 
@@ -180,12 +194,14 @@ def run_ct_stream(
     checkpoint: str,
     ingest_ts: Column | None = None,
     trigger: Trigger = Trigger(),
+    preview: bool = False,
 ) -> list[StreamingQuery]:
-    """The certificate stream: unique events by day, rejected messages apart."""
+    """The certificate stream: unique events by day, rejected messages apart, a preview if asked for."""
     good, bad = split(messages, ingest_ts=ingest_ts)
     return [
         parquet_sink(dedupe(good), out, f"{checkpoint}/good", ["ds"], trigger),
         parquet_sink(bad, dead_letter, f"{checkpoint}/bad", None, trigger),
+        *([preview_sink(good, trigger)] if preview else []),
     ]
 
 
@@ -197,11 +213,14 @@ def run_event_stream(
     checkpoint: str,
     ingest_ts: Column | None = None,
     trigger: Trigger = Trigger(),
+    check_contract: bool = False,
+    preview: bool = False,
 ) -> list[StreamingQuery]:
     """The domain-event stream: events, rejected messages and batch metrics, each with its checkpoint."""
-    good, bad = split(messages, ingest_ts=ingest_ts)
+    good, bad = split(messages, check_contract, ingest_ts)
     return [
         parquet_sink(good, out, f"{checkpoint}/good", None, trigger),
         parquet_sink(bad, dead_letter, f"{checkpoint}/bad", None, trigger),
         metrics_sink(good, metrics, f"{checkpoint}/metrics", trigger),
+        *([preview_sink(good, trigger)] if preview else []),
     ]

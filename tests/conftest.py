@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,14 @@ from indicatrix.session import build_session  # noqa: E402
 
 # Started on import, because test modules hold column expressions.
 SESSION = build_session(
-    "tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g"}
+    "tests",
+    "local[8]",
+    **{
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-"),
+    },
 )
 SESSION.sparkContext.setLogLevel("ERROR")
 

@@ -17,12 +17,18 @@ def test_ct_messages(spark):
     ).withColumn("t", F.lit("2024-01-01 00:00:01.234567").cast("timestamp"))
     got = rows(documents.ct_events(docs, "t"), "id", "domain", "tld", "event_ts")
     stamp = "2024-01-01T00:00:01Z"
+    mark = docs.select(F.substring(F.md5("value"), 1, 16)).first()[0]
     assert got == [
-        ("ct-1704067201234-0", "a.com", "com", stamp), ("ct-1704067201234-3", "*.d.org", "org", stamp), ("ct-1704067201234-4", "nodot", None, stamp),
+        (f"ct-1704067201234-0-{mark}", "a.com", "com", stamp), (f"ct-1704067201234-3-{mark}", "*.d.org", "org", stamp), (f"ct-1704067201234-4-{mark}", "nodot", None, stamp),
     ]
     assert len(rows(documents.ct_events(docs, "t", every_n=3))) == 2
 
 
+def test_messages_of_one_millisecond_keep_their_ids(spark):
+    docs = texts(spark, *({"data": {"leaf_cert": {"all_domains": [d]}}} for d in ("a.com", "b.org"))).withColumn("t", F.lit("2024-01-01 00:00:01").cast("timestamp"))
+    assert documents.ct_events(docs, "t").select("id").distinct().count() == 2
+
+
 def test_threat_event_forms(spark):
     wrapped = {"Event": {"id": "1", "uuid": "u", "date": "2024-01-05", "Orgc": {"name": "o"}, "Tag": [{"name": "a"}, "b", {"Name": "c"}, {"name": ""}, 5],
                          "Galaxy": [{"name": "g"}, "text", {"name": ""}], "Attribute": [
@@ -65,6 +71,11 @@ def test_directory_index(spark):
     ]
 
 
+def test_directory_index_with_far_columns(spark):
+    page = "<tr><td><a href='a.json'>a</a></td><td>" + "x" * 1000 + "</td><td> 2024-01-05 13:58</td></tr><tr><td><a href='b.json'>b</a></td><td>-</td></tr>"
+    assert [r[0] for r in rows(documents.directory_index(texts(spark, page), "https://h/f/"), "url")] == ["https://h/f/a.json"]
+
+
 def test_files_of_day_window(spark):
     times = ["2024-01-04 20:59:59", "2024-01-04 21:00:00", "2024-01-05 12:00:00", "2024-01-06 02:59:59", "2024-01-06 03:00:00"]
     index = spark.createDataFrame([(f"{i}", t) for i, t in enumerate(times)], "url string, last_modified string").withColumn("last_modified", F.col("last_modified").cast("timestamp"))
@@ -97,7 +108,8 @@ def test_whois_documents(spark):
 def test_long_raw_documents_are_cut(spark):
     body = json.dumps({"x": "y" * 300_000})
     df = spark.createDataFrame([("d", 200, body, None)], "domain string, http_status int, body string, error string").withColumn("fetched_at", F.current_timestamp())
-    assert documents.whois_rows(df).select(F.length("raw")).first()[0] == 200_000
+    assert documents.whois_rows(df).select(F.length("raw") == F.length(F.lit(df.first()["body"]))).first()[0]
+    assert documents.whois_rows(df, raw_chars=10).select(F.length("raw")).first()[0] == 10
 
 
 def test_geo_layouts(spark):

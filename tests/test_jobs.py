@@ -1,6 +1,7 @@
 """The jobs end to end on small landed files."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,7 +80,10 @@ def test_lookups(spark, at):
 
 
 def test_training_and_publishing(spark, at):
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(scratch))
     meta = jobs.train_model(spark, at, DS, NOW, spec=SPEC, estimator=models.logistic(80, 25)).first()
+    assert set(os.listdir(scratch)) == before
     assert (meta["n_rows"], meta["n_pos"], meta["n_neg"]) == (60 + len(SEEDS), 60, len(SEEDS))
     assert meta["metrics"]["roc_auc"] > 0.9
     exported = jobs.publish_threats(spark, at, DS, NOW, SPEC)
@@ -110,6 +114,11 @@ def test_certificate_path(spark, at):
     base = jobs.ct_domains(events)
     assert rows(base, "registered_domain", "domain") == [("a-login.com", "www.a-login.com"), ("b.org", "b.org"), ("c.co.uk", "c.co.uk")]
     assert jobs.ct_domains(events, rows=1).count() == 1
+    many = spark.range(30_000).select(
+        F.concat(F.lit("d"), "id", F.lit(".com")).alias("domain"), F.timestamp_seconds("id").alias("event_ts"), F.lit("s").alias("source"),
+        F.timestamp_seconds("id").alias("ingest_ts"), F.lit("2024-02-01").alias("ds"),
+    )
+    assert jobs.ct_domains(many, runs=7).count() == jobs.ct_domains(many).count() == 30_000
     resolved = spark.createDataFrame([("a-login.com", "1.1.1.1"), ("a-login.com", "::1"), ("b.org", "1.1.1.1")], "registered_domain string, ip string")
     answers = spark.createDataFrame([("1.1.1.1", json.dumps({"status": "success", "country": "US", "as": "AS1 N", "asname": "N"}))], "ip string, value string")
     enriched = jobs.ct_facts(base, resolved, answers)

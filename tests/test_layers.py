@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from indicatrix import schemas
@@ -133,7 +134,10 @@ def test_unreadable_files_are_skipped(spark, table, tmp_path):
     table([(2, "x")], "a int, b string").write.parquet(str(path / "part=2"))
     (path / "part=2" / "bad.parquet").write_bytes(b"PAR1 this is no table PAR1")
     schema = spark.createDataFrame([], "a int, b string, part int").schema
-    assert rows(tables.read_table(spark, str(path), schema), "a", "b") == [(1, None), (2, "x")]
+    assert rows(tables.read_table(spark, str(path), schema, skip_unreadable=True), "a", "b") == [(1, None), (2, "x")]
+    assert [r["path"].rsplit("/", 1)[1] for r in tables.unreadable_files(spark, str(path), schema).collect()] == ["bad.parquet"]
+    with pytest.raises(Exception):
+        tables.read_table(spark, str(path), schema).collect()
     assert tables.read_table(spark, str(path / "absent"), schema).count() == 0
 
 

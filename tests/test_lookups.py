@@ -61,10 +61,11 @@ def test_upsert_whois_nulls_lose(table):
 
 def test_locate_ips_against_brute_force(table):
     rng = random.Random(5)
-    blocks = ["10.0.0.0/8", "10.1.0.0/16", "10.1.2.0/24", "10.1.2.128/25", "192.168.0.0/15", "0.0.0.0/1", "200.1.2.3/32", "200.1.2.9/30"]
+    blocks = ["10.0.0.0/8", "10.1.0.0/16", "10.1.2.0/24", "10.1.2.128/25", "192.168.0.0/15", "0.0.0.0/1", "200.1.2.3/32", "200.1.2.9/30", "2001:db8::/32", "2001:db8:7::/48", "2001:db8:7::1:0/113", "::ffff:10.0.0.0/104", "fe80::/10"]
     ips = [f"10.1.2.{i}" for i in range(0, 256, 5)] + [
         ".".join(str(rng.choice([10, 1, 2, 192, 168, 169, 200, 255])) for _ in range(4)) for _ in range(200)
-    ] + ["200.1.2.3", "200.1.2.8", "::1", "x", "255.255.255.255", "0.0.0.0"]
+    ] + ["200.1.2.3", "200.1.2.8", "::1", "x", "255.255.255.255", "0.0.0.0"] + [
+        "2001:db8::5", "2001:db8:7::5", "2001:DB8:7::1:1", "2001:db8:7::1:8000", "2001:db9::", "::ffff:10.9.8.7", "fe80::1", "::", "2001:db8:7:0:0:0:1:ffff"]
     got = {
         r["ip"]: r["name"]
         for r in lookups.locate_ips(
@@ -74,7 +75,7 @@ def test_locate_ips_against_brute_force(table):
 
     def want(text):
         try:
-            address = ipaddress.IPv4Address(text)
+            address = ipaddress.ip_address(text)
         except ValueError:
             return None
         hits = [b for b in blocks if address in ipaddress.ip_network(b, strict=False)]
@@ -182,7 +183,8 @@ def test_statistics_and_excerpts(table):
     assert gold.high_risk(top, 2).count() == 2
     stats = gold.statistics(labels(table), top)
     row = stats.first().asDict(recursive=True)
-    assert row["totalSamples"] == 5 and row["exportedCount"] == 3 and row["maliciousCount"] == 3 and row["highRiskCount"] == 3
+    assert gold.totals(threats, 2).first()["exportedCount"] == 2 and gold.totals(threats, 2).first()["threatCount"] == 4
+    assert row["totalSamples"] == 5 and row["exportedCount"] == row["threatCount"] == 3 and row["maliciousCount"] == 3 and row["highRiskCount"] == 3
     assert row["riskDistribution"] == {"CRITICAL": 2, "HIGH": 1, "MEDIUM": 0, "LOW": 0}
     assert row["topCountries"] == {"US": 2} and row["topRegistrars"] == {"R": 1}
     assert all(failed == 0 for _, failed in rows(quality.statistics_checks(stats)))

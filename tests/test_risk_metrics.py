@@ -54,9 +54,19 @@ def test_running_totals(spark, descending):
     assert got == want
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "RANGE_ROWS", 10)
+    groups = spark.range(1000).select((F.col("id") * 0.5).alias("key"), F.lit(1).alias("n")).cache()
+    totals = ordered.running_totals(groups, "key", {"upto": "n"})
+    assert [r["upto"] for r in totals.orderBy("key").collect()] == list(range(1, 1001))
+    cuts = [float(c) for c in range(0, 500, 5)]
+    places = groups.select("key", ordered._place("key", cuts).alias("place")).collect()
+    assert all(r["place"] == sum(c < r["key"] for c in cuts) for r in places) and max(r["place"] for r in places) > 64
+
+
 def test_running_totals_use_no_window_over_all_rows(spark):
     groups = spark.range(1000).select((F.col("id") * 0.5).alias("key"), F.lit(1).alias("n"))
-    plan = ordered.running_totals(groups, "key", {"upto": "n"})._jdf.queryExecution().executedPlan().toString()
+    plan = ordered.running_totals(groups, "key", {"upto": "n"}, ranges=16)._jdf.queryExecution().executedPlan().toString()
     # The only single-partition step lies above the aggregation of the ranges.
     single = plan[plan.index("SinglePartition") :]
     assert "HashAggregate(keys=[_range" in single and plan.count("SinglePartition") == 1

@@ -91,6 +91,25 @@ def test_event_stream_with_metrics(spark, tmp_path):
     assert [spark.read.parquet(p).count() for p in paths[:3]] == [1, 1, 1]
 
 
+def test_events_without_a_time_are_unique_too(spark, tmp_path):
+    """Three batches bring one id without a readable time; the batch twin agrees."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(3):
+        land(tmp_path / "in", f"{i}.txt", [message("n", "never"), message(i)])
+        good, _ = events.split(events.text_source(spark, src), ingest_ts=NOW)
+        run(events.parquet_sink(events.dedupe(good), out, str(tmp_path / "chk"), ["ds"], ONCE))
+    want = ["0", "1", "2", "n"]
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == want
+    twin = events.dedupe_batch(events.split(spark.read.text(src), ingest_ts=NOW)[0])
+    assert sorted(r["id"] for r in twin.collect()) == want
+    assert {str(r["ds"]) for r in twin.collect()} == {"2024-01-01"}
+
+
+def test_earliest_event_wins_over_one_without_time(spark):
+    df = spark.createDataFrame([("a", None), ("a", "2024-01-01 00:00:00")], "id string, t string").select("id", F.col("t").cast("timestamp").alias("event_ts"))
+    assert events.dedupe_batch(df).first()["event_ts"] is not None
+
+
 def test_admission_control(spark, tmp_path):
     for i in range(3):
         land(tmp_path / "in", f"{i}.txt", [message(i)])
@@ -98,8 +117,9 @@ def test_admission_control(spark, tmp_path):
     query = events.parquet_sink(good, str(tmp_path / "out"), str(tmp_path / "chk"), None, ONCE)
     run(query)
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
-    assert events.kafka_options("host:1", "topic")["maxOffsetsPerTrigger"] == "5000"
-    assert "maxOffsetsPerTrigger" not in events.kafka_options("host:1", "topic", limit=None)
+    assert events.kafka_options("host:1", "topic", limit=7)["maxOffsetsPerTrigger"] == "7"
+    plain = events.kafka_options("host:1", "topic")
+    assert "maxOffsetsPerTrigger" not in plain and plain["failOnDataLoss"] == "true" and plain["startingOffsets"] == "earliest"
 
 
 def test_preview(spark, tmp_path):
