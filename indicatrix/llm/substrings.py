@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicatrix.llm.store import stored
+from indicatrix.llm.store import discard, stored
 from indicatrix.llm.words import Hasher, bounds, buffers, chunks
 
 LENGTH, PREFIX = 20, 5
@@ -117,7 +117,7 @@ def anchor_runs(docs: DataFrame, length: int, prefix: int) -> DataFrame:
 
 
 def later_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -> DataFrame:
-    """doc_id, ``at`` and ``n``: n windows from word ``at`` on, each of whose words also start earlier.
+    """doc_id and ``spans``, (at, n) each: n windows from word ``at`` on, each of whose words also start earlier.
 
     Earlier is a smaller doc_id, or an earlier start in one document; a null doc_id is the smallest. Rows of one doc_id are
     one document: equal rows agree, and of different texts under one doc_id the windows are compared by their starts.
@@ -126,8 +126,10 @@ def later_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -
     shared = stored(anchor_counts(docs, length, prefix).where("n > 1").select("anchor"), "shared-prefixes")
     # Where they stand, by document; only those anchors bring their windows along.
     places = anchor_places(docs, length, prefix).join(shared, "anchor").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("place").alias("places"))
-    placed = docs.join(stored(places, "shared-places"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    places = stored(places, "shared-places")
+    placed = docs.join(places, F.col("doc_id").eqNullSafe(F.col("_id")))
     runs = stored(anchor_runs(placed, length, prefix).withColumn("run", F.xxhash64("windows")), "anchor-runs")
+    discard(shared, places)
 
     # Copies: equal runs of windows around an anchor. All but the first are later altogether.
     own = F.struct("doc_id", "place")
@@ -137,6 +139,7 @@ def later_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -
     judged = stored(
         judged.select("anchor", "doc_id", "first", "copy", F.size("windows").alias("n"), F.when(~F.col("copy"), F.col("windows")).alias("windows")), "judged-runs"
     )
+    discard(runs, first)
 
     # The windows of first runs, one by one.
     windows = judged.where(~F.col("copy")).select("anchor", "doc_id", "first", F.posexplode("windows").alias("i", "window"))
@@ -145,7 +148,10 @@ def later_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -
     earliest = windows.groupBy("anchor", "window").agg(F.min(own).alias("earliest"), F.max(own).alias("latest")).where("earliest <> latest")
     earliest = stored(earliest.select("anchor", "window", "earliest"), "first-windows")
     later = windows.join(earliest, ["anchor", "window"]).where(F.col("earliest") != own).select("doc_id", "at", F.lit(1).alias("n"))
-    return judged.where("copy").select("doc_id", F.col("first").alias("at"), "n").union(later)
+    found = judged.where("copy").select("doc_id", F.col("first").alias("at"), "n").union(later)
+    spans = stored(found.groupBy("doc_id").agg(F.collect_set(F.struct("at", "n")).alias("spans")), "later-windows")
+    discard(judged, earliest)
+    return spans
 
 
 def covered(n_words: int, spans, length: int) -> np.ndarray:
@@ -177,8 +183,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX)
             out.append({"kept_text": kept.decode(), "n_words": len(words), "n_removed": int(gone.sum())})
         return pa.array(out, pa.struct([("kept_text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())]))
 
-    windows = later_windows(docs, length, prefix)
-    spans = stored(windows.groupBy("doc_id").agg(F.collect_set(F.struct("at", "n")).alias("_spans")).withColumnRenamed("doc_id", "_id"), "later-windows")
+    spans = later_windows(docs, length, prefix).select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
     docs = docs.drop("kept_text", "n_words", "n_removed")
     joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
     made = joined.withColumn("_made", F.arrow_udf(cut, result)(F.col("text").cast("string"), F.col("_spans")))
