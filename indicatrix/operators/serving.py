@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from indicatrix.functions.buckets import MAP_COUNTRY_ALIASES, intensity_class
 
-# Characters of a text by which it meets URLs.
-GRAM = 4
+# Texts that travel as a constant, and characters of a text by which it meets URLs otherwise.
+CONSTANT_TEXTS, GRAM = 100, 4
 
 
 def _name_or_url_holds(query: str | Column) -> Column:
@@ -26,23 +26,51 @@ def of_level(threats: DataFrame, level: str) -> DataFrame:
     return threats if level == "ALL" else threats.filter(F.col("riskLevel") == level)
 
 
+KEYS = "array<struct<kind:string,key:string>>"
+
+
+def _key(kind: str, key: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+
+
 def lookup(threats: DataFrame, texts: DataFrame | list[str], rank: list[Column | str]) -> DataFrame:
     """For each text the first row, by ``rank``, whose domain equals it or whose URL holds it.
 
-    ``texts`` has one column, or is a list. A text meets domains by equality. It
-    meets URLs by the last characters of it (GRAM of them, or all of a shorter text), and is
-    then looked for in the URL. Only the best row per text and task is shuffled on.
+    Up to CONSTANT_TEXTS texts of a list travel as a constant and the rows are scanned once. More of them, or a
+    table of one column, are joined: a text meets domains by equality, and URLs by its last characters (GRAM of
+    them, or all of a shorter text), and is then looked for in the URL. Only the best row per text and task is
+    shuffled on.
     """
-    if isinstance(texts, list):
-        texts = threats.sparkSession.createDataFrame([(t,) for t in texts], "query string")
+    order = F.struct(*[F.col(r) if isinstance(r, str) else r for r in rank], *[F.col(c) for c in threats.columns])
+    if isinstance(texts, list) and len(texts) <= CONSTANT_TEXTS:
+        hits = _constant_hits(threats, texts)
+    else:
+        if isinstance(texts, list):
+            texts = threats.sparkSession.createDataFrame([(t,) for t in texts], "query string")
+        hits = _joined_hits(threats, texts)
+    found = hits.groupBy("query").agg(F.min(order).alias("_first"))
+    return found.select("query", *[F.col("_first")[c].alias(c) for c in threats.columns])
+
+
+def _constant_hits(threats: DataFrame, texts: list[str]) -> DataFrame:
+    wanted = sorted({t.lower().strip() for t in texts} - {""})
+    domain, url = F.lower("domain"), F.lower("url")
+    held = F.filter(
+        F.array(*[F.lit(t) for t in wanted]).cast("array<string>"), lambda t: (t == domain) | F.contains(url, t)
+    )
+    return threats.withColumn("query", F.explode(held))
+
+
+def _joined_hits(threats: DataFrame, texts: DataFrame) -> DataFrame:
     text = F.lower(F.trim(F.col(texts.columns[0])))
     wanted = texts.select(text.alias("query")).filter("query <> ''").distinct()
-    rows = threats.withColumns({"_domain_key": F.lower("domain"), "_url_key": F.lower("url")})
-    by_name = rows.join(wanted, F.col("_domain_key") == F.col("query"))
+    gram = F.substring("query", -GRAM, GRAM)
+    keys = wanted.select("query", F.inline(F.array(_key("domain", F.col("query")), _key("url", gram))))
+    lengths = wanted.agg(F.collect_set(F.length(gram))).scalar()
 
-    size = F.length("_url_key")
+    rows = threats.withColumns({"_url_key": F.lower("url"), "_lengths": lengths})
+    size, none = F.length("_url_key"), F.array().cast("array<string>")
     starts = lambda n: F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
-    none = F.array().cast("array<string>")
     grams = F.concat(
         *[
             F.when(
@@ -51,14 +79,11 @@ def lookup(threats: DataFrame, texts: DataFrame | list[str], rank: list[Column |
             for n in range(1, GRAM + 1)
         ]
     )
-    keyed = wanted.withColumn("_gram", F.substring("query", -GRAM, GRAM))
-    lengths = keyed.agg(F.collect_set(F.length("_gram"))).scalar()
-    by_url = rows.withColumn("_lengths", lengths).withColumn("_gram", F.explode(F.array_distinct(grams))).join(keyed, "_gram").filter(F.contains(F.col("_url_key"), F.col("query")))
-    hits = by_name.select(*threats.columns, "query").unionByName(by_url.select(*threats.columns, "query"))
-
-    order = F.struct(*[F.col(r) if isinstance(r, str) else r for r in rank], *[F.col(c) for c in threats.columns])
-    found = hits.groupBy("query").agg(F.min(order).alias("_first"))
-    return found.select("query", *[F.col("_first")[c].alias(c) for c in threats.columns])
+    found_in = F.transform(F.array_distinct(grams), lambda g: _key("url", g))
+    rows = rows.withColumn("_keys", F.concat(F.coalesce(found_in, F.array().cast(KEYS)), F.array(_key("domain", F.lower("domain")))))
+    met = rows.select(*threats.columns, "_url_key", F.inline("_keys")).join(keys, ["kind", "key"])
+    hits = met.filter((F.col("kind") == "domain") | F.contains(F.col("_url_key"), F.col("query")))
+    return hits.select(*threats.columns, "query")
 
 
 def shares(df: DataFrame, column: str) -> DataFrame:

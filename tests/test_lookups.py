@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicatrix import schemas
-from indicatrix.operators import features, gold, lookups, matches, quality
+from indicatrix.operators import features, gold, lookups, matches, quality, serving
 from indicatrix.operators.skew import is_small, lookup_join
 from tests.conftest import rows
 
@@ -192,6 +192,21 @@ def test_statistics_and_excerpts(table):
     assert dict(rows(quality.statistics_checks(broken)))["high_risk_recount"] == 1
 
 
+def test_lookup_of_many_texts_agrees_with_few(table, monkeypatch):
+    threats = table(
+        [(f"D{i}.com", f"https://d{i}.com/{i % 7}/path{i}", float(i % 5)) for i in range(300)] + [(None, None, 9.0), ("", "", 9.0)],
+        "domain string, url string, riskScore double",
+    )
+    texts = [f"d{i}.COM" for i in range(0, 300, 3)] + [f"/{i}/" for i in range(9)] + ["h", "th1", " path29 ", "nowhere", "", "//d7.com/0/path7"]
+    best = [(-F.col("riskScore")).alias("_score"), F.col("domain").alias("_domain")]
+    monkeypatch.setattr(serving, "CONSTANT_TEXTS", 1000)
+    few = rows(serving.lookup(threats, texts, best))
+    monkeypatch.setattr(serving, "CONSTANT_TEXTS", 0)
+    assert rows(serving.lookup(threats, texts, best)) == few and len(few) > 100
+    many = table([(t,) for t in texts], "text string")
+    assert rows(serving.lookup(threats, many, best)) == few
+
+
 def test_drift(table):
     history = table([("2024-01-01", 10, 0.5, 0.5, 5), ("2024-01-02", 10, 0.61, 0.5, 6), ("2024-01-03", 10, 0.6, 0.43, 4), ("2024-01-04", 10, 0.5, 0.43, 4)],
                     "run_date string, total_samples int, malicious_ratio double, avg_risk_score double, high_risk_count int")
