@@ -45,6 +45,10 @@ def running_totals(
     """
     if ranges is None:
         ranges = max(1, -(-groups.count() // RANGE_ROWS))
+    order = F.col(key).desc() if descending else F.col(key).asc()
+    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    if ranges == 1:
+        return groups.withColumns({out: F.sum(src).over(upto) for out, src in sums.items()})
     # Any cut points give exact results; good ones only balance the tasks.
     steps = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(groups.approxQuantile(key, steps, min(0.001, 0.1 / ranges)))) if steps else []
@@ -57,7 +61,6 @@ def running_totals(
     offsets = totals.select(
         "_range", *[F.coalesce(F.sum(f"_{out}").over(before), F.lit(0)).alias(f"_{out}") for out in sums]
     )
-    order = F.col(key).desc() if descending else F.col(key).asc()
     inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         ranged.withColumns({out: F.sum(src).over(inside) for out, src in sums.items()})
