@@ -18,8 +18,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Rows may be large: a batch for Python ends at whichever limit comes first.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # Rows may be large: a batch for Python ends at whichever limit comes first. It is held several times over, in the
+    # executor and in its workers.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # Stream state on local disk, its changes in the checkpoint, some batches kept for a restart.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
