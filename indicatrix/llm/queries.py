@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indicatrix.llm import chat, ctw, decontaminate, mixing, rollups, secrets, simhash, substrings, topk, toxicity
+from indicatrix.llm import bpe, chat, ctw, decontaminate, mixing, periods, rollups, secrets, simhash, substrings, topk, toxicity, whitening
 from indicatrix.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,6 @@ query("op7_benchmark_decontamination", "documents", "benchmark")(decontaminate.c
 query("op8_chat_formatting", "conversations", sql=chat.DIGEST_SQL)(chat.digest)
 query("op9_substring_dedup", "documents")(substrings.digest)
 query("op10_lm_scoring", "documents")(ctw.scores)
+query("op11_periodic_runs", "documents")(periods.digest)
+query("op12_embedding_whitening", "embeddings")(whitening.whiten)
+query("op13_bpe", "documents")(bpe.digest)
