@@ -395,7 +395,7 @@ def b8_ct_geo_documents(t: Tables):
     return documents.ct_geo_rows(t.customer.select(ip, F.expr(_BATCH_TEXT).alias("value")))
 
 
-@query("q11_type_filter", "SELECT event_id, type, indicator FROM misp_attr WHERE type NOT LIKE 'ip-%'")
+@query("q11_type_filter", "SELECT event_id, type, indicator FROM misp_attr WHERE type IN ('domain', 'hostname', 'url')")
 def q11_type_filter(t: Tables):
     return layers.of_type(t.misp_attr, *layers.NAME_TYPES).select("event_id", "type", "indicator")
 

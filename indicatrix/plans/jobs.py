@@ -19,6 +19,7 @@ from indicatrix.operators import features, gold, layers, lookups, matches, model
 from indicatrix.operators.skew import lookup_join
 from indicatrix.session import materialise, removes_scratch
 from indicatrix.sources import documents, feeds, tables
+from indicatrix.sources.cache import geo_cache, whois_cache
 
 RUN = "run_date"
 
@@ -164,40 +165,33 @@ def merge_dns(
     ``resolved`` has (puny_domain, ip), ``answers`` (ip, provider, value). ``blocks``,
     network blocks with geo attributes, stand for a local database and go before answers.
     """
-    path = at.lookups__dns_geo_cache
-    cache, version = tables.read_cache(spark, path, schemas.DNS_GEO)
+    cache = geo_cache(spark, at.lookups__dns_geo_cache)
     names = domains_of_day(spark, at, ds).select("puny_domain")
-    pairs = materialise(lookups.missing_pairs(resolved.join(names, "puny_domain", "left_semi"), cache), "pairs")
+    pairs = materialise(lookups.missing_pairs(resolved.join(names, "puny_domain", "left_semi"), cache.rows()), "pairs")
     geo = documents.geo_rows(answers)
     if blocks is not None:
         # The local database: attributes of the network block that holds the address.
         geo = lookups.locate_ips(pairs.select("ip"), blocks).filter("network IS NOT NULL").drop("network")
-    new = lookups.attach_geo(pairs, geo)
-    tables.write_version(lookups.upsert_geo(cache, new), path, version + 1)
-    merged, _ = tables.read_cache(spark, path, schemas.DNS_GEO)
-    tables.drop_versions(spark, path)
-    daily = lookups.daily_snapshot(merged, names, "puny_domain")
-    tables.publish_day(daily, at.lookups__dns_geo, ds)
+    cache.merge(lookups.attach_geo(pairs, geo))
+    tables.publish_day(cache.read(within=names), at.lookups__dns_geo, ds)
     published = _day(_read(spark, at.lookups__dns_geo, schemas.DNS_GEO), ds)
-    manifest = materialise(tables.run_manifest("dns_ip_geo_ingest", ds, now, names, pairs, published, merged, provider), "manifest")
+    manifest = materialise(tables.run_manifest("dns_ip_geo_ingest", ds, now, names, pairs, published, cache.rows().select(*lookups.PAIR).distinct(), provider), "manifest")
     tables.write_json(manifest, f"{at.lookups__manifests}/ds={ds}")
     return spark.read.json(f"{at.lookups__manifests}/ds={ds}")
 
 
 def whois_to_fetch(spark: SparkSession, at: Layout, ds: str, now: str, ttl_days: int = 30, error_days: int = 7) -> DataFrame:
-    cache, _ = tables.read_cache(spark, at.lookups__whois_cache, schemas.WHOIS)
-    return lookups.refresh_list(domains_of_day(spark, at, ds), cache, _at(now), ttl_days, error_days)
+    names = domains_of_day(spark, at, ds)
+    cached = whois_cache(spark, at.lookups__whois_cache).read(within=names.select("domain"))
+    return lookups.refresh_list(names, cached, _at(now), ttl_days, error_days)
 
 
 def merge_whois(spark: SparkSession, at: Layout, ds: str, responses: DataFrame) -> str:
     """Bring landed registration responses into the cache and publish the day."""
-    path = at.lookups__whois_cache
-    cache, version = tables.read_cache(spark, path, schemas.WHOIS)
-    tables.write_version(lookups.upsert_whois(cache, documents.whois_rows(responses)), path, version + 1)
-    merged, _ = tables.read_cache(spark, path, schemas.WHOIS)
-    tables.drop_versions(spark, path)
+    cache = whois_cache(spark, at.lookups__whois_cache)
+    cache.merge(documents.whois_rows(responses).withColumn("domain", F.lower("domain")))
     names = domains_of_day(spark, at, ds).select("domain")
-    return tables.publish_day(lookups.daily_snapshot(merged, names, "domain"), at.lookups__whois, ds)
+    return tables.publish_day(cache.read(within=names), at.lookups__whois, ds)
 
 
 # -- training and scoring --------------------------------------------------------------------

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from indicatrix.operators import contract, gold, layers, lookups, matches, picks, quality
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables, now
+from indicatrix.session import scratch_dir
+from indicatrix.sources.cache import geo_cache, whois_cache
 
 # -- events ------------------------------------------------------------------------------
 
@@ -337,6 +339,36 @@ def g7_upsert_whois(t: Tables):
     return lookups.upsert_whois(cache, new)
 
 
+@query(
+    "g6_geo_cache",
+    """SELECT puny_domain, ip, CASE WHEN max(s_suppkey) % 3 = 0 THEN 'third' WHEN max(s_suppkey) % 2 = 0 THEN 'second' ELSE 'first' END AS country
+    FROM dns_geo JOIN (SELECT ip, max(s_suppkey) AS s_suppkey FROM supplier_ip GROUP BY ip) USING (ip) GROUP BY puny_domain, ip""",
+)
+def g6_geo_cache(t: Tables):
+    """Three merges into a stored cache, each adding its rows alone; the last one of a pair counts."""
+    cache = geo_cache(t.spark, scratch_dir(t.spark, "geo-cache"))
+    suppliers = t.supplier_ip.groupBy("ip").agg(F.max("s_suppkey").alias("n"))
+    rows = t.dns_geo.select("puny_domain", "ip", "family").distinct().join(suppliers, "ip")
+    for country, part in (("first", rows), ("second", rows.filter("n % 2 = 0")), ("third", rows.filter("n % 3 = 0"))):
+        cache.merge(part.withColumn("country", F.lit(country)))
+    return cache.read().select("puny_domain", "ip", "country")
+
+
+@query(
+    "g7_whois_cache",
+    """SELECT domain, max(fetched_at) AS fetched_at FROM whois GROUP BY domain""",
+)
+def g7_whois_cache(t: Tables):
+    """Later fetches first, earlier ones after them, one bucket compacted in between: the latest fetch of a domain counts."""
+    cache = whois_cache(t.spark, scratch_dir(t.spark, "whois-cache"))
+    rows = t.whois.select("domain", "registrar", "created", "fetched_at")
+    middle = now() - F.make_dt_interval(F.lit(30))
+    cache.merge(rows.filter(F.col("fetched_at") >= middle))
+    cache.compact(["0"])
+    cache.merge(rows.filter(F.col("fetched_at") < middle))
+    return cache.read().select("domain", "fetched_at")
+
+
 @query(
     "g8_latest_ct",
     "SELECT domain AS registered_domain, max(first_seen) AS event_ts FROM label_row GROUP BY domain",

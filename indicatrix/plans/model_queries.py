@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,11 +15,9 @@ from indicatrix.operators import features, gold, layers, metrics, models
 from indicatrix.plans.lookup_queries import feature_rows, listed
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables, now
-from indicatrix.session import scratch_dir
+from indicatrix.session import materialise, scratch_dir
 
 SPEC = models.FeatureSpec()
-# 300 rounds take hours of single-machine time here; the trees have full width and depth.
-ROUNDS = 5
 
 
 def training_rows(t: Tables) -> DataFrame:
@@ -152,51 +149,82 @@ def k14_model_comparison(t: Tables):
     return table.withColumns({c: F.round(c, 9) for c in ("roc_auc", "pr_auc", "recall_at_1pct")})
 
 
-def _fitted(t: Tables, estimator_of, full: bool = True) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """A model of full width, its training rows and the test rows."""
+def _fitted(t: Tables, estimator_of, full: bool = True) -> tuple[PipelineModel, DataFrame]:
+    """A model of full width out of the training rows, and all rows."""
     rows = training_rows(t)
-    train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
-    return models.train(train, estimator_of(train.count()), SPEC, full), train, test
+    train = rows.filter(~F.col("is_test"))
+    return models.train(train, estimator_of(train.count()), SPEC, full), rows
+
+
+def _weighted_scores(model: PipelineModel, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training rows with class weights and scores, and test rows with scores. All rows are scored once."""
+    scored = materialise(models.score(model, rows, SPEC).select("registered_domain", "label", "is_test", "score"), "scored")
+    return models.class_weights(scored.filter(~F.col("is_test"))), scored.filter("is_test")
 
 
 _TEST_ROWS = "(SELECT CAST(sum(n) AS BIGINT) FROM (SELECT ceil(count(*) * 0.25) AS n FROM feature_row GROUP BY label))"
 
 
+def logistic_facts(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Test rows scored, and whether the training rows' weighted residuals and the penalty of the constant feature cancel, as at the optimum."""
+    train, test = _weighted_scores(model, rows)
+    constant = float(model.stages[-1].coefficients[-1])
+    pull = F.lit(constant * model.stages[-1].getRegParam())
+    residual = F.abs(F.sum(F.col("weight") * (F.col("score") - F.col("label"))) / F.sum("weight") + pull)
+    return test.agg(F.count_if(F.col("score").between(0, 1)).alias("test_rows")).withColumn("balanced", train.agg(residual < 1e-4).scalar())
+
+
 def _logistic_facts(t: Tables, full: bool) -> DataFrame:
-    """Test rows scored, and whether the weighted residuals of the training rows cancel, as they do at the optimum."""
-    model, train, test = _fitted(t, models.logistic, full)
-    weighted = models.score(model, models.class_weights(train), SPEC)
-    residual = F.abs(F.sum(F.col("weight") * (F.col("score") - F.col("label")))) / F.sum("weight")
-    in_range = F.count_if(F.col("score").between(0, 1))
-    scored = models.score(model, test, SPEC).agg(in_range.alias("test_rows"))
-    return scored.withColumn("balanced", weighted.agg(residual < 1e-3).scalar())
+    return logistic_facts(*_fitted(t, models.logistic, full))
 
 
 query("k10_logistic_lexical", f"SELECT {_TEST_ROWS} AS test_rows, true AS balanced")(lambda t: _logistic_facts(t, False))
 query("k10_logistic_full", f"SELECT {_TEST_ROWS} AS test_rows, true AS balanced")(lambda t: _logistic_facts(t, True))
 
 
-@query("k11_boosted_trees", f"SELECT {_TEST_ROWS} AS test_rows, CAST({ROUNDS} AS INTEGER) AS trees, true AS learned")
-def k11_boosted_trees(t: Tables):
-    """Test rows scored, trees, and whether the weighted training loss is below that of a constant."""
-    model, train, test = _fitted(t, lambda n: models.boosted(rounds=ROUNDS))
-    score = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), F.col("score")))
+def measures(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Rows and measures of held-out rows, and the weighted loss of training rows."""
+    train, test = _weighted_scores(model, rows)
+    score = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col("score")))
     loss = F.sum(-F.col("weight") * F.log(F.when(F.col("label") == 1, score).otherwise(1 - score))) / F.sum("weight")
-    trained = models.score(model, models.class_weights(train), SPEC).agg(loss < math.log(2)).scalar()
-    rows = models.score(model, test, SPEC).agg(F.count_if(F.col("score").between(0, 1)).alias("test_rows"))
-    return rows.withColumns({"trees": F.lit(model.stages[-1].getNumTrees), "learned": trained})
+    return metrics.evaluate(test).withColumns({"train_loss": train.agg(loss).scalar(), "test_rows": test.agg(F.count("*")).scalar()})
 
 
-@query("k12_model_registry", f"SELECT {_TEST_ROWS} AS rows, CAST(0 AS BIGINT) AS differences")
+@query("k10_logistic_measures")
+def k10_logistic_measures(t: Tables):
+    """What the full linear model is worth on held-out domains."""
+    return measures(*_fitted(t, models.logistic)).select("test_rows", "roc_auc", "pr_auc", "recall_at_1pct", "train_loss")
+
+
+@query("k11_boosted_trees")
+def k11_boosted_trees(t: Tables):
+    """What boosted trees with all their rounds and leaves are worth on held-out domains."""
+    model, rows = _fitted(t, lambda n: models.boosted())
+    _, trees = model.stages[-1].content()
+    leaves = max(sum(f < 0 for f in tree.feature) for tree in trees)
+    return measures(model, rows).select(
+        F.lit(len(trees)).alias("trees"), F.lit(leaves).alias("most_leaves"), "test_rows", "roc_auc", "pr_auc", "recall_at_1pct", "train_loss"
+    )
+
+
+@query(
+    "k12_model_registry",
+    """SELECT registered_domain, label, true AS same_score FROM (SELECT registered_domain, label,
+      row_number() OVER (PARTITION BY label ORDER BY md5(concat(registered_domain, ':42')), registered_domain) <= ceil(count(*) OVER (PARTITION BY label) * 0.25) AS is_test
+      FROM feature_row) WHERE is_test""",
+)
 def k12_model_registry(t: Tables):
-    """Register a model, load the newest and score with both."""
+    """Held-out domains scored by a model and by what the registry gives back as the newest of two."""
     registry = scratch_dir(t.spark, "registry")
-    model, _, test = _fitted(t, lambda n: models.logistic(n, max_iter=20))
+    model, rows = _fitted(t, models.logistic)
+    test = rows.filter("is_test")
     counts = features.dataset_counts(test).first().asDict()
+    old = Pipeline(stages=models.vector_stages(SPEC)).fit(models.prepare(test.limit(1), SPEC))
+    models.register(old, registry, "features", "2024-01-01 00:00:00", counts, {"roc_auc": 0.5})
     models.register(model, registry, "logistic", "2024-02-01 00:00:00", counts, {"roc_auc": 0.5})
     before = models.score(model, test, SPEC).withColumnRenamed("score", "before")
     after = models.score(models.newest(t.spark, registry), before, SPEC)
-    return after.agg(F.count("*").alias("rows"), F.count_if(F.col("before") != F.col("score")).alias("differences"))
+    return after.select("registered_domain", "label", (F.col("before") == F.col("score")).alias("same_score"))
 
 
 @query(
@@ -216,17 +244,31 @@ def a21_model_metadata(t: Tables):
     return meta.select("model_file", "n_rows", "n_pos", "n_neg", "metrics.roc_auc")
 
 
+def _threats(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """All domains with their scores, and the threat table out of them."""
+    model, _ = _fitted(t, models.logistic)
+    rows = gold.scored_rows(t.labels_rd, t.dns_geo, t.whois, t.misp_attr, now())
+    scored = materialise(models.score(model, rows, SPEC), "scored")
+    return scored, gold.assemble(scored)
+
+
 @query(
     "k13_scored_threats",
     """SELECT domain, url, "firstSeen", label, source, "threatType", country, registrar, "domainAgeDays", true AS level_fits FROM threat_row""",
 )
 def k13_scored_threats(t: Tables):
     """Train, score all domains with their list flags, publish the threat table; levels have to follow from scores."""
-    model, _, _ = _fitted(t, lambda n: models.logistic(n, max_iter=20))
-    rows = gold.scored_rows(t.labels_rd, t.dns_geo, t.whois, t.misp_attr, now())
-    threats = gold.assemble(models.score(model, rows, SPEC))
+    _, threats = _threats(t)
     score, listed = F.col("riskScore"), F.col("source") == "misp_osint"
     # Published scores are rounded, levels are not.
     near = F.exists(F.array(*[F.lit(x) for x in (0.2, 0.6, 0.9)]), lambda x: F.abs(score - x) < 1e-4)
     fits = F.when(listed, (score == 1.0) & (F.col("riskLevel") == "CRITICAL")).otherwise(near | (F.col("riskLevel") == risk_level(score)))
     return threats.withColumn("level_fits", fits).drop("riskScore", "riskLevel")
+
+
+@query("k13_published_scores")
+def k13_published_scores(t: Tables):
+    """The threat table with its scores and levels, beside what the model said."""
+    scored, threats = _threats(t)
+    said = scored.select(F.col("registered_domain").alias("domain"), F.round("score", 9).alias("model_score"))
+    return threats.select("domain", "source", "riskScore", "riskLevel", "domainAgeDays").join(said, "domain")
