@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ from indicatrix.llm.words import bounds, buffers, chunks, word_column
 
 REMEMBERED = 200_000
 END = 256  # added to a byte that ends a piece
+CHUNK_BYTES = 4 << 20
+# Fixed value: the pattern of the file, and what it comes to where all letters are ASCII and in lower case.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_CUT = rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
 
 
 def default_path() -> str:
@@ -78,11 +83,19 @@ class Vocabulary:
         self.base = {b: vocab[c] for b, c in enumerate(letters)} | {b + END: vocab[c + end] for b, c in enumerate(letters)}
         self.symbols = {i: (s,) for s, i in self.base.items()}
         self.rules: dict[tuple[int, int], tuple[int, int]] = {}
+        # How each token is formed: rank, left part, right part. Symbols are there from the start.
+        self.formed: dict[int, tuple[int, int, int]] = dict.fromkeys(self.base.values(), (-1, -1, -1))
+        in_order = True
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             token = vocab[a + b]
             self.rules[vocab[a], vocab[b]] = rank, token
+            in_order &= token not in self.formed and vocab[a] in self.formed and vocab[b] in self.formed
+            self.formed.setdefault(token, (rank, vocab[a], vocab[b]))
             self.symbols.setdefault(token, self.symbols[vocab[a]] + self.symbols[vocab[b]])
+        # Each token comes from one rule, which follows those of its parts: then ranks are the times at which things merge.
+        self.in_order = in_order
+        self.lengths = {t: len(s) for t, s in self.symbols.items()}
         # Tokens by their symbols from the last to the first; None marks a token's own place.
         self.backwards: dict = {}
         for token, symbols in self.symbols.items():
@@ -95,9 +108,13 @@ class Vocabulary:
         # The rules that cut and fold text, without the vocabulary.
         bare = data | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}}
         self.library = Tokenizer.from_str(json.dumps(bare))
-        self.stays: dict[tuple[int, ...], bool] = {}
-        self.words: dict[bytes, np.ndarray] = {}
+        self.stays: dict[int, bool] = {}
+        self.words: dict[bytes, list[int]] = {}
         self.pieces: dict[bytes, list[int]] = {}
+        cut = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] if len(data["pre_tokenizer"].get("pretokenizers", [])) == 2 else None
+        lowers = [n["type"] for n in (data["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        # The same pattern and folding, where all letters are ASCII and no special token can be inside.
+        self.ascii_cut = re.compile(ASCII_CUT).findall if cut == CUT and lowers and all("|" in s for s in self.special) else None
 
     def merged(self, symbols: tuple[int, ...]) -> list[int]:
         """Tokens of a few symbols by merging the pair of least rank, the first of equal ones."""
@@ -109,26 +126,52 @@ class Vocabulary:
             i = min(found)[1]
             tokens[i : i + 2] = [self.rules[tokens[i], tokens[i + 1]][1]]
 
-    def stay(self, *tokens: int) -> bool:
-        """Does merging the symbols of these tokens give these tokens?"""
-        if tokens not in self.stays:
+    def stay(self, first: int, second: int) -> bool:
+        """Does merging the symbols of two tokens give these tokens? Of one, if the first is -1."""
+        key = (first << 32) + second
+        if key not in self.stays:
             if len(self.stays) > 4 * REMEMBERED:
                 self.stays.clear()
-            self.stays[tokens] = self.merged(sum((self.symbols[t] for t in tokens), ())) == list(tokens)
-        return self.stays[tokens]
+            if first >= 0 and self.in_order and self.stay(-1, first) and self.stay(-1, second):
+                self.stays[key] = not self.meet(first, second)
+            else:
+                tokens = [second] if first < 0 else [first, second]
+                self.stays[key] = self.merged(sum((self.symbols[t] for t in tokens), ())) == tokens
+        return self.stays[key]
+
+    def meet(self, left: int, right: int) -> bool:
+        """Do parts of two neighbouring tokens merge across their border before the tokens are whole?
+
+        Backwards in time: what touches the border is first the tokens, then, of both, what the later formed one was made of. Two
+        such parts merge if their rule comes before either goes into its own token; of equal rules the first place wins.
+        """
+        end_left = end_right = len(self.rules)
+        while True:
+            rank = self.rules.get((left, right), (end_left,))[0]
+            if rank < end_left and rank <= end_right:
+                return True
+            rank_left, _, inner_left = self.formed[left]
+            rank_right, inner_right, _ = self.formed[right]
+            if rank_left < 0 and rank_right < 0:
+                return False
+            # Of equal ranks the left one was formed first.
+            if rank_left > rank_right:
+                left, end_left = inner_left, rank_left
+            else:
+                right, end_right = inner_right, rank_right
 
     def last_token(self, piece: bytes, depth: int, symbol: int, path: list[int]) -> int:
-        """The last token of piece[:depth] followed by a symbol; path[k] is that of piece[:k]."""
-        at, k, found = self.backwards[symbol], depth, []
+        """The last token of piece[:depth] followed by a symbol; path[k] is that of piece[:k], and path[0] is -1."""
+        at, k, found, stays = self.backwards[symbol], depth, [], self.stays
         while True:
             if None in at:
                 found.append((k, at[None]))
             k -= 1
-            if k < 0 or piece[k] not in at:
+            if k < 0 or (below := at.get(piece[k])) is None:
                 break
-            at = at[piece[k]]
+            at = below
         for k, token in reversed(found):
-            if self.stay(path[k], token) if k else self.stay(token):
+            if known if (known := stays.get((path[k] << 32) + token)) is not None else self.stay(path[k], token):
                 return token
         raise AssertionError("no token ends here")
 
@@ -136,21 +179,25 @@ class Vocabulary:
         """Token ids of distinct pieces, in one depth-first walk."""
         out, path, before = {}, [-1], b""
         for piece in sorted(pieces):
-            same = common_length(before, piece)
-            del path[min(same, len(piece) - 1) + 1 :]
-            for depth in range(len(path) - 1, len(piece) - 1):
+            last = len(piece) - 1
+            del path[min(common_length(before, piece), last) + 1 :]
+            for depth in range(len(path) - 1, last):
                 path.append(self.last_token(piece, depth, piece[depth], path))
-            depth = len(piece) - 1
-            tokens = [self.last_token(piece, depth, piece[depth] + END, path)]
-            at = len(piece) - len(self.symbols[tokens[0]])
+            token = self.last_token(piece, last, piece[last] + END, path)
+            tokens, at = [token], last + 1 - self.lengths[token]
             while at:
-                tokens.append(path[at])
-                at -= len(self.symbols[path[at]])
-            out[piece], before = tokens[::-1], piece[:-1]
+                token = path[at]
+                tokens.append(token)
+                at -= self.lengths[token]
+            tokens.reverse()
+            out[piece], before = tokens, piece[:last]
         return out
 
-    def cut(self, text: str) -> list[bytes | int]:
-        """Pieces of a text without white space, and ids of special tokens between them."""
+    def cut(self, word: bytes) -> list[bytes | int]:
+        """Pieces of a word, which holds no ASCII white space, and ids of special tokens between them."""
+        if self.ascii_cut and b"|" not in word and word.isascii():
+            return self.ascii_cut(word.lower())
+        text = word.decode("utf-8", "replace")
         parts = self.special_cut.split(text) if self.special_cut else [text]
         out: list[bytes | int] = []
         for at, part in enumerate(parts):
@@ -162,32 +209,35 @@ class Vocabulary:
                 out += [folded[a:b].encode() for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(folded)]
         return out
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of distinct words, which hold no white space."""
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = words
+    def encode(self, words: list[bytes]) -> list[list[int]]:
+        """Token ids of distinct words."""
+        cuts = {w: self.cut(w) for w in words if w not in self.words}
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        cuts = {w: self.cut(w.decode("utf-8", "replace")) for w in new}
-        self.pieces |= self.encode_pieces({p for cut in cuts.values() for p in cut if isinstance(p, bytes) and p not in self.pieces})
-        out = {w: np.array([t for p in cut for t in (self.pieces[p] if isinstance(p, bytes) else (p,))], np.int32) for w, cut in cuts.items()}
-        if len(out) <= REMEMBERED:
-            self.words |= out
-        return [out[w] if w in out else self.words[w] for w in words]
+        pieces = self.pieces
+        pieces |= self.encode_pieces({p for cut in cuts.values() for p in cut if p.__class__ is bytes and p not in pieces})
+        out = {}
+        for word, cut in cuts.items():
+            if len(cut) == 1 and cut[0].__class__ is bytes:
+                out[word] = pieces[cut[0]]
+            else:
+                out[word] = [t for p in cut for t in (pieces[p] if p.__class__ is bytes else (p,))]
+        found = [out[w] if w in out else self.words[w] for w in words]
+        # What was met last is most likely to be met again.
+        self.words = self.words | out if len(self.words) + len(out) <= REMEMBERED else out if len(out) <= REMEMBERED else {}
+        return found
 
     def encoded(self, column) -> pa.ListArray:
         """Token ids of whole texts."""
         data, offsets = buffers(column)
         parts, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-        for first, last, part, places in chunks(data, offsets):
+        for first, last, part, places in chunks(data, offsets, CHUNK_BYTES):
             starts, ends, owner = bounds(part, places)
             words = word_column(part, starts, ends).dictionary_encode()
             distinct = self.encode(words.dictionary.cast(pa.binary()).to_pylist())
             codes = words.indices.to_numpy(zero_copy_only=False)
-            flat = np.concatenate([np.zeros(0, np.int32), *distinct])
-            lengths = np.array([len(x) for x in distinct], np.int64)
+            flat = np.fromiter(chain.from_iterable(distinct), np.int32)
+            lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
             begins = np.cumsum(lengths) - lengths
             counts = lengths[codes]
             total = np.concatenate([[0], np.cumsum(counts)])
@@ -211,10 +261,16 @@ class Vocabulary:
 
 def common_length(a: bytes, b: bytes) -> int:
     """How many first bytes are equal."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
+    n = 0
+    for x, y in zip(a, b):
+        if x != y or n == 64:
+            break
+        n += 1
+    if n < 64:
         return n
-    low, high = 0, n
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
     while high - low > 1:
         middle = (low + high) // 2
         low, high = (middle, high) if a[:middle] == b[:middle] else (low, middle)

@@ -72,6 +72,18 @@ def test_walk_equals_merging():
         assert ids == vocabulary.merged((*piece[:-1], piece[-1] + bpe.END))
 
 
+def test_borders_equal_merging():
+    """Whether two tokens stay apart: by the parts at their border, and by merging all their symbols."""
+    vocabulary, rng = bpe.Vocabulary(bpe.file_text(PATH)), random.Random(5)
+    assert vocabulary.in_order
+    some = [t for t, s in vocabulary.symbols.items() if all(x < bpe.END for x in s)]
+    short = [t for t in some if len(vocabulary.symbols[t]) < 4 and set(vocabulary.symbols[t]) <= set(b"aeinort")]
+    pairs = [(rng.choice(some), rng.choice(list(vocabulary.symbols))) for _ in range(4000)] + [(a, b) for a in short for b in short][:20000]
+    stays = [vocabulary.stay(a, b) for a, b in pairs]
+    assert stays == [vocabulary.merged(vocabulary.symbols[a] + vocabulary.symbols[b]) == [a, b] for a, b in pairs]
+    assert 0 < sum(stays) < len(stays)
+
+
 def test_forgetting_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 7)
     rows = letters(2, 30)
