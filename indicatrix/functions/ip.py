@@ -42,13 +42,11 @@ def ipv6_flag(ip: Column) -> Column:
     return F.coalesce(is_ipv6(ip), F.lit(False)).cast("int")
 
 
-def _bits(part: Column, base: int, width: int) -> Column:
-    return F.lpad(F.conv(part, base, 2), width, "0")
+def address_halves(ip: Column) -> Column:
+    """struct(family, hi, lo), the address as two longs that sort like the address; NULL for text that is no address.
 
-
-def address_bits(ip: Column) -> Column:
-    """The address as text of 32 or 128 binary digits; NULL for text that is no address."""
-    v4 = F.array_join(F.transform(F.split(ip, r"\."), lambda p: _bits(p, 10, 8)), "")
+    Both halves of an IPv6 address have their first bit turned, so that signed order is the order of addresses. IPv4 has hi = 0.
+    """
     bare = F.regexp_replace(ip, r"%.+$", "")
     # An embedded IPv4 tail as two groups.
     tail = F.split(F.regexp_extract(bare, rf"{_TAIL4}$", 0), r"\.")
@@ -60,8 +58,34 @@ def address_bits(ip: Column) -> Column:
     sides = F.transform(F.split(whole, "::", -1), lambda side: F.filter(F.split(side, ":"), lambda g: g != ""))
     left, right = F.get(sides, F.lit(0)), F.coalesce(F.get(sides, F.lit(1)), F.array().cast("array<string>"))
     gap = F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(left) - F.size(right)))
-    v6 = F.array_join(F.transform(F.concat(left, gap, right), lambda g: _bits(g, 16, 16)), "")
-    return F.when(is_ipv4(ip), v4).when(is_ipv6(ip), v6)
+    numbers = F.transform(F.concat(left, gap, right), lambda g: F.conv(g, 16, 10).try_cast("bigint"))
+    half = lambda at: F.aggregate(F.slice(numbers, at, 4), F.lit(0).cast("bigint"), lambda a, g: F.shiftleft(a, 16).bitwiseOR(g))
+    turned = F.lit(-(2**63)).cast("bigint")
+    six = F.struct(F.lit(6).alias("family"), half(1).bitwiseXOR(turned).alias("hi"), half(5).bitwiseXOR(turned).alias("lo"))
+    four = F.struct(F.lit(4).alias("family"), F.lit(0).cast("bigint").alias("hi"), ipv4_number(ip).alias("lo"))
+    return F.when(is_ipv4(ip), four).when(is_ipv6(ip), six)
+
+
+def network_bounds(address: Column, width: Column) -> tuple[Column, Column]:
+    """First and last address of the block of a width around an address, all as ``address_halves``.
+
+    ``width`` counts leading bits and must fit the family.
+    """
+    family, hi, lo = address["family"], address["hi"], address["lo"]
+    free = F.when(family == 4, 32 - width).otherwise(128 - width)
+
+    def filled(half: Column, bits: Column, on: bool) -> Column:
+        # Turned halves: all bits off is the least long, all on the greatest.
+        all_bits = F.lit(2**63 - 1 if on else -(2**63)).cast("bigint")
+        mask = F.call_function("shiftleft", F.lit(-1).cast("bigint"), F.least(F.greatest(bits, F.lit(0)), F.lit(63)))
+        changed = half.bitwiseOR(F.bitwise_not(mask)) if on else half.bitwiseAND(mask)
+        return F.when(bits >= 64, all_bits).otherwise(changed)
+
+    def end(on: bool) -> Column:
+        high = F.when(family == 4, hi).otherwise(filled(hi, free - 64, on))
+        return F.struct(family.alias("family"), high.alias("hi"), filled(lo, free, on).alias("lo"))
+
+    return end(False), end(True)
 
 
 def ipv4_number(ip: Column) -> Column:

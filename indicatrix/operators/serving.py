@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicatrix.functions.buckets import MAP_COUNTRY_ALIASES, intensity_class
+from indicatrix.operators.skew import is_small
+from indicatrix.session import materialise
 
 # Texts that travel as a constant, and characters of a text by which it meets URLs otherwise.
 CONSTANT_TEXTS, GRAM = 100, 4
@@ -26,20 +28,13 @@ def of_level(threats: DataFrame, level: str) -> DataFrame:
     return threats if level == "ALL" else threats.filter(F.col("riskLevel") == level)
 
 
-KEYS = "array<struct<kind:string,key:string>>"
-
-
-def _key(kind: str, key: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
-
-
 def lookup(threats: DataFrame, texts: DataFrame | list[str], rank: list[Column | str]) -> DataFrame:
     """For each text the first row, by ``rank``, whose domain equals it or whose URL holds it.
 
     Up to CONSTANT_TEXTS texts of a list travel as a constant and the rows are scanned once. More of them, or a
-    table of one column, are joined: a text meets domains by equality, and URLs by its last characters (GRAM of
-    them, or all of a shorter text), and is then looked for in the URL. Only the best row per text and task is
-    shuffled on.
+    table of one column, are joined: a text meets domains by equality, and URLs by that stretch of GRAM characters
+    (or all of a shorter text) that the fewest URLs hold, and is then looked for in the URL. What common texts share, as
+    their endings, brings nothing together. Only the best row per text and task is shuffled on.
     """
     order = F.struct(*[F.col(r) if isinstance(r, str) else r for r in rank], *[F.col(c) for c in threats.columns])
     if isinstance(texts, list) and len(texts) <= CONSTANT_TEXTS:
@@ -61,29 +56,51 @@ def _constant_hits(threats: DataFrame, texts: list[str]) -> DataFrame:
     return threats.withColumn("query", F.explode(held))
 
 
+def grams(text: Column, length: int = GRAM) -> Column:
+    """The distinct stretches of ``length`` characters; a text that is shorter is one itself."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - length + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(length))))
+
+
+def rarest_grams(urls: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(query, gram) with the stretch of each text that the fewest URLs hold.
+
+    ``urls`` has ``_url``, ``wanted`` has ``query``. A text with a stretch that no URL holds is in none and left out. Texts shorter
+    than GRAM keep themselves: as stretches of their own length they are counted likewise.
+    """
+    asked = wanted.select("query", F.explode(grams(F.col("query"))).alias("gram"))
+    lengths = range(1, GRAM + 1)
+    present = asked.agg(F.collect_set(F.length("gram"))).first()[0]  # at most GRAM numbers
+    counted = urls.select(F.explode(_url_grams(F.col("_url"), [n for n in lengths if n in present])).alias("gram"))
+    counts = counted.groupBy("gram").agg(F.count("*").alias("_urls"))
+    met = asked.join(counts, "gram", "left")
+    best = F.min(F.struct(F.coalesce("_urls", F.lit(0)).alias("urls"), "gram")).alias("best")
+    return met.groupBy("query").agg(best).where("best.urls > 0").select("query", "best.gram")
+
+
+def _url_grams(url: Column, lengths: list[int]) -> Column:
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(F.length(url) >= n, grams(url, n)).otherwise(none) for n in lengths])
+
+
+def url_candidates(threats: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows with the texts that their URLs may hold: those whose rarest stretch they hold."""
+    rows = threats.withColumn("_url", F.lower("url"))
+    chosen = materialise(rarest_grams(rows.where("_url IS NOT NULL").select("_url"), wanted), "rarest-grams")
+    lengths = [r[0] for r in chosen.select(F.length("gram")).distinct().collect()]
+    held = rows.select("*", F.explode(_url_grams(F.col("_url"), sorted(lengths))).alias("gram"))
+    if is_small(chosen):
+        return held.join(F.broadcast(chosen), "gram")
+    return held.join(chosen.hint("merge"), "gram")
+
+
 def _joined_hits(threats: DataFrame, texts: DataFrame) -> DataFrame:
     text = F.lower(F.trim(F.col(texts.columns[0])))
-    wanted = texts.select(text.alias("query")).filter("query <> ''").distinct()
-    gram = F.substring("query", -GRAM, GRAM)
-    keys = wanted.select("query", F.inline(F.array(_key("domain", F.col("query")), _key("url", gram))))
-    lengths = wanted.agg(F.collect_set(F.length(gram))).scalar()
-
-    rows = threats.withColumns({"_url_key": F.lower("url"), "_lengths": lengths})
-    size, none = F.length("_url_key"), F.array().cast("array<string>")
-    starts = lambda n: F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
-    grams = F.concat(
-        *[
-            F.when(
-                F.array_contains("_lengths", n), F.transform(starts(n), lambda i: F.substring(F.col("_url_key"), i, F.lit(n)))
-            ).otherwise(none)
-            for n in range(1, GRAM + 1)
-        ]
-    )
-    found_in = F.transform(F.array_distinct(grams), lambda g: _key("url", g))
-    rows = rows.withColumn("_keys", F.concat(F.coalesce(found_in, F.array().cast(KEYS)), F.array(_key("domain", F.lower("domain")))))
-    met = rows.select(*threats.columns, "_url_key", F.inline("_keys")).join(keys, ["kind", "key"])
-    hits = met.filter((F.col("kind") == "domain") | F.contains(F.col("_url_key"), F.col("query")))
-    return hits.select(*threats.columns, "query")
+    wanted = materialise(texts.select(text.alias("query")).filter("query <> ''").distinct(), "texts")
+    names = threats.withColumn("query", F.lower("domain"))
+    by_name = names.join(F.broadcast(wanted) if is_small(wanted) else wanted, "query").select(*threats.columns, "query")
+    by_url = url_candidates(threats, wanted).where(F.contains(F.col("_url"), F.col("query")))
+    return by_name.unionByName(by_url.select(*threats.columns, "query"))
 
 
 def shares(df: DataFrame, column: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables, now
 from indicatrix.session import scratch_dir
-from indicatrix.streaming import events
+from indicatrix.streaming import events, topic
 
 ONCE = events.Trigger(once=True)
 _GOOD = "event_id % 17 <> 0"
@@ -197,3 +197,51 @@ def j4_fan_out(t: Tables):
         t.spark.read.parquet(f"{root}/out/{part}").select(F.lit(part).alias("part")) for part in ("good", "bad")
     ]
     return parts[0].unionByName(parts[1]).groupBy("part").agg(F.count("*").alias("n"))
+
+
+_TOPIC_SQL = """SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition, row_number() OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id) - 1 AS "offset", ts FROM events"""
+
+
+def _landed_topic(t: Tables) -> str:
+    """The events' texts as a landed topic of four partitions with three segments each, in order of time."""
+    folder = scratch_dir(t.spark, "topic")
+    n, third = F.col("event_id"), F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    rows = t.as_messages(t.events).join(t.events.select("event_id", (F.col("user_id") % 4).cast("int").alias("partition")), "event_id")
+    rows = rows.select("partition", n.cast("string").alias("key"), "value", F.col("ts").alias("timestamp"), F.struct("ts", "event_id").alias("sequence"), third.alias("third"))
+    for part in range(3):
+        topic.land(rows.filter(F.col("third") == part).drop("third"), folder)
+    return folder.removeprefix("file://") if folder.startswith("file:///") else folder
+
+
+@query("a1_topic_source", f"SELECT CAST(event_id AS VARCHAR) AS key, partition, \"offset\", value, ts AS kafka_ts FROM ({_TOPIC_SQL}) JOIN stream_event USING (event_id, ts)")
+def a1_topic_source(t: Tables):
+    """Every message of the topic with its partition and offset, in batches of a bounded number of messages, over a restart."""
+    root, folder = scratch_dir(t.spark, "topic-out"), _landed_topic(t)
+    limit = max(1, t.events.count() // 3)
+    for last in (False, True):
+        stream = topic.topic_stream(t.spark, folder, limit)
+        writer = events.parquet_sink(stream.withColumnRenamed("timestamp", "kafka_ts"), f"{root}/out", f"{root}/chk", None, events.Trigger(seconds=0))
+        try:
+            if last:
+                writer.processAllAvailable()
+            else:
+                while not writer.recentProgress and writer.isActive:  # stopped after its first batch
+                    writer.awaitTermination(1)
+        finally:
+            writer.stop()
+    return t.spark.read.parquet(f"{root}/out").select("key", "partition", "offset", "value", "kafka_ts")
+
+
+@query("j6_topic_admission", "SELECT CAST(g AS BIGINT) AS batch, CAST(CASE WHEN g < 7 THEN ceil(n / 7.0) ELSE n - 6 * ceil(n / 7.0) END AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM events), (SELECT unnest(range(1, 8)) AS g)")
+def j6_topic_admission(t: Tables):
+    """A limit of a seventh of all messages: seven batches, all but the last full."""
+    root, folder = scratch_dir(t.spark, "topic-admission"), _landed_topic(t)
+    limit = -(-t.events.count() // 7)
+    counted = topic.topic_stream(t.spark, folder, limit).select(F.lit(0.0).alias("latency_sec"))
+    writer = events.metrics_sink(counted, f"{root}/out", f"{root}/chk", events.Trigger(seconds=0))
+    try:
+        writer.processAllAvailable()
+    finally:
+        writer.stop()
+    batches = t.spark.read.parquet(f"{root}/out").filter("rows > 0")
+    return batches.select((F.col("batch_id") + 1).cast("bigint").alias("batch"), "rows")

@@ -84,6 +84,50 @@ def test_locate_ips_against_brute_force(table):
     assert got == {i: want(i) for i in ips}
 
 
+@pytest.mark.parametrize("ranges", [1, 13])
+def test_locate_many_ips_in_nested_blocks(spark, table, monkeypatch, ranges):
+    """Random nested blocks of both families, in one range and in many."""
+    rng = random.Random(ranges)
+    base4, base6 = int(ipaddress.ip_address("10.0.0.0")), int(ipaddress.ip_address("2001:db8::"))
+    blocks = {"0.0.0.0/0", "::/0", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff/128", "255.255.255.255/32", "8000::/1"}
+    for _ in range(150):
+        blocks.add(f"{ipaddress.ip_address(base4 + rng.getrandbits(12))}/{rng.randint(18, 32)}")
+        blocks.add(f"{ipaddress.ip_address(base6 + (rng.getrandbits(6) << 66) + rng.getrandbits(12))}/{rng.choice([58, 60, 62, 63, 64, 65, 100, 116, 120, 124, 127, 128])}")
+    ips = {str(ipaddress.ip_address(base4 + rng.getrandbits(13))) for _ in range(400)} | {str(ipaddress.ip_address(base6 + (rng.getrandbits(6) << 66) + rng.getrandbits(13))) for _ in range(400)}
+    ips |= {"ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:fffe", "255.255.255.255", "255.255.255.254", "0.0.0.0", "::", "no address"}
+    monkeypatch.setattr(lookups, "RANGE_ROWS", 1_000_000 if ranges == 1 else 100)
+    got = lookups.locate_ips(table([(i,) for i in ips], "ip string"), table([(b, len(b)) for b in blocks], "network string, size int"))
+    nets: dict = {}
+    for b in sorted(blocks, reverse=True):
+        nets[ipaddress.ip_network(b, strict=False)] = b
+
+    def want(text):
+        try:
+            address = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        hits = [n for n in nets if n.version == address.version and address in n]
+        return nets[max(hits, key=lambda n: n.prefixlen)] if hits else None
+
+    assert {r["ip"]: (r["network"], r["size"]) for r in got.collect()} == {i: (b, len(b)) if (b := want(i)) else (None, None) for i in ips}
+
+
+def test_locate_without_blocks_or_ips(table):
+    none = table([], "network string, name string")
+    assert rows(lookups.locate_ips(table([("1.2.3.4",), (None,)], "ip string"), none)) == [(None, None, None), ("1.2.3.4", None, None)]
+    assert lookups.locate_ips(table([], "ip string"), table([("1.0.0.0/8", "x")], "network string, name string")).count() == 0
+
+
+def test_halves_sort_like_addresses(values):
+    from indicatrix.functions.ip import address_halves
+
+    ips = ["::", "::1", "::ffff:1.2.3.4", "7fff:ffff:ffff:ffff::", "8000::", "2001:db8::8000:0:0:0", "2001:db8:0:0:7fff:ffff:ffff:ffff", "ffff::", "1.2.3.4", "0.0.0.0", "255.255.255.255"]
+    got = values(ips, address_halves(F.col("x")))
+    key = lambda t: (ipaddress.ip_address(t).version, int(ipaddress.ip_address(t)))
+    assert [ips[i] for i in sorted(range(len(ips)), key=lambda i: tuple(got[i]))] == sorted(ips, key=key)
+    assert values(["1.2.3", "::g", None], address_halves(F.col("x"))) == [None] * 3
+
+
 DNS = "puny_domain string, ip string, family int, country string, asn string, isp string"
 
 
@@ -207,6 +251,25 @@ def test_lookup_of_many_texts_agrees_with_few(table, monkeypatch):
     assert rows(serving.lookup(threats, many, best)) == few
 
 
+def test_common_endings_bring_nothing_together(spark):
+    """10 000 texts that end alike: candidates are the hits and little more, and hits are those of comparing all."""
+    n = F.col("id")
+    name = F.concat(F.substring(F.md5(n.cast("string")), 1, 10), F.lit(".com"))
+    threats = spark.range(20_000).select(name.alias("domain"), F.concat(F.lit("https://"), name, F.lit("/")).alias("url"), (n % 7).cast("double").alias("riskScore"))
+    texts = spark.range(10_000, 30_000, 2).select(F.concat(F.substring(F.md5(n.cast("string")), 4, 7), F.lit(".com/")).alias("query"))
+    candidates = serving.url_candidates(threats, texts).select("_url", "query").distinct()
+    hits = candidates.where(F.contains("_url", F.col("query"))).count()
+    assert hits >= 5000 and candidates.count() < 4 * hits
+    # Texts that have nothing but common stretches are found in all rows.
+    assert rows(serving.url_candidates(threats, texts.limit(1).select(F.lit(".com/").alias("query"))).groupBy("query").count()) == [(".com/", 20_000)]
+
+
+def test_rarest_stretches(table):
+    urls = table([("abcdefg",), ("abcdxyz",), ("ab",), ("abcdx",)], "_url string")
+    wanted = table([("abcdx",), ("bcdefg",), ("ab",), ("zzzz",), ("abcdq",), ("q",)], "query string")
+    assert rows(serving.rarest_grams(urls, wanted)) == [("ab", "ab"), ("abcdx", "bcdx"), ("bcdefg", "bcde")]
+
+
 def test_drift(table):
     history = table([("2024-01-01", 10, 0.5, 0.5, 5), ("2024-01-02", 10, 0.61, 0.5, 6), ("2024-01-03", 10, 0.6, 0.43, 4), ("2024-01-04", 10, 0.5, 0.43, 4)],
                     "run_date string, total_samples int, malicious_ratio double, avg_risk_score double, high_risk_count int")
