@@ -112,8 +112,8 @@ def a11_damaged_file(t: Tables):
     rows.filter("o_orderkey % 2 <> 0").write.mode("append").parquet(path)
     t.spark.range(1).select(F.lit("no Parquet").alias("value")).coalesce(1).write.mode("append").option("compression", "none").text(f"{path}-text")
     broken = t.spark.read.format("binaryFile").load(f"{path}-text").first()["path"]
-    source, files = tables._files(t.spark, broken)
-    files.rename(source, tables._files(t.spark, f"{path}/part-damaged.parquet")[0])
+    source, files = tables.files_at(t.spark, broken)
+    files.rename(source, tables.files_at(t.spark, f"{path}/part-damaged.parquet")[0])
     stored = tables.read_table(t.spark, path, rows.schema, skip_unreadable=True)
     skipped = tables.unreadable_files(t.spark, path, rows.schema).agg(F.count("*")).scalar()
     return stored.withColumn("unreadable", skipped)

@@ -244,7 +244,7 @@ def publish_threats(
     rows = gold.scored_rows(labels, dns, whois, _day(_attrs(spark, at), ds), _at(now))
     scored = materialise(models.score(models.newest(spark, at.models), rows, spec), "scored")
     # The whole threat table of the day, read by all that follows; the documents are its named excerpts.
-    tables.write_day(gold.assemble(scored), at.gold__threat_table, ds)
+    tables.publish_day(gold.assemble(scored), at.gold__threat_table, ds)
     threats = _day(_read(spark, at.gold__threat_table, schemas.THREAT), ds)
     tables.write_json(gold.top_threats(threats), f"{at.gold__threats}/ds={ds}")
     tables.write_json(gold.recent(threats), f"{at.gold__threats_recent}/ds={ds}")

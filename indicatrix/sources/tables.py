@@ -2,57 +2,112 @@
 
 from __future__ import annotations
 
-import uuid
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from indicatrix import schemas
+from indicatrix.sources import commits
+from indicatrix.sources.commits import files_at
 
 PARTITION = "ingest_date"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target, files = _files(spark, path)
+    target, files = files_at(spark, path)
     return files.exists(target)
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, skip_unreadable: bool = False
 ) -> DataFrame:
-    """A Parquet table; columns of all files are kept.
+    """A Parquet table; columns of all files are kept. Of published days it is the attempt that was committed last.
 
     With a schema, a table that was never written reads as empty. A damaged file
     is an error unless the caller asks to skip such files and reports them with
     ``unreadable_files``.
     """
     reader = spark.read.option("ignoreCorruptFiles", skip_unreadable).option("recursiveFileLookup", False)
-    if schema is None:
-        return reader.option("mergeSchema", True).parquet(path)
-    if not path_exists(spark, path):
+    folders = live_folders(spark, path)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    if folders is None:
+        if schema is not None and not path_exists(spark, path):
+            return schemas.empty(spark, schema)
+        return reader.parquet(path)
+    if not folders and schema is not None:
         return schemas.empty(spark, schema)
-    return reader.schema(schema).parquet(path)
+    return reader.option("basePath", path).parquet(*folders)
+
+
+def live_folders(spark: SparkSession, path: str) -> list[str] | None:
+    """What of a table with published days is to be read: each day's last committed attempt, and days written without attempts.
+
+    None for a table that has no published days.
+    """
+    known = _committed(spark, path)
+    days = [n for n in commits.names_in(spark, path) if n.startswith(f"{PARTITION}=")]
+    if not known and not any(_attempts(spark, f"{path}/{d}") for d in days):
+        return None
+    found = []
+    for day in days:
+        if day in known:
+            found.append(f"{path}/{day}/{ATTEMPT}{known[day][-1]:06d}")
+        else:
+            found += [f"{path}/{day}/{n}" for n in commits.names_in(spark, f"{path}/{day}") if n.endswith(".parquet")]
+    return found
+
+
+ATTEMPT = "attempt-"
+
+
+def _committed(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Committed attempts of each day, in order. The names of the commit files say it all."""
+    root, files = files_at(spark, f"{path}/{commits.FOLDER}")
+    found: dict[str, list[int]] = {}
+    if files.exists(root):
+        listed = files.listFiles(root, True)
+        while listed.hasNext():
+            file = listed.next().getPath()
+            if file.getName().endswith(".json"):
+                found.setdefault(file.getParent().getName(), []).append(int(file.getName().removesuffix(".json")))
+    return {day: sorted(numbers) for day, numbers in found.items()}
+
+
+def _attempts(spark: SparkSession, day: str) -> list[int]:
+    return [int(n.removeprefix(ATTEMPT)) for n in commits.names_in(spark, day) if n.startswith(ATTEMPT)]
 
 
 def unreadable_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """(path, bytes) of the table's files that a skipping read leaves out.
+    """(path, bytes, reason) of the table's files that a skipping read leaves out.
 
-    Names come from a listing that reads no content. Files that gave no rows are
-    read by themselves; what is damaged fails there, an empty file does not.
+    Names come from a listing that reads no content. Of files that gave no rows tasks read the footers: what is damaged
+    fails there, an empty file does not. Tasks open files by Arrow's own file systems.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+
+    def run(batches):
+        import pyarrow.parquet as parquet
+        from pyarrow import fs
+
+        for batch in batches:
+            kept, reasons = [], []
+            for at, file in enumerate(batch.column("path").to_pylist()):
+                try:
+                    files, name = fs.FileSystem.from_uri(file)
+                    with files.open_input_file(name) as source:
+                        parquet.read_metadata(source)
+                except Exception as error:  # whatever a damaged file makes its reader say
+                    kept.append(at)
+                    reasons.append(f"{type(error).__name__}: {str(error)[:500]}")
+            taken = batch.take(pa.array(kept, pa.int64()))
+            yield pa.record_batch([*taken.columns, pa.array(reasons, pa.string())], ["path", "bytes", "reason"])
+
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    listed = listing.load(live_folders(spark, path) or path)
     files = listed.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
     read = read_table(spark, path, schema, skip_unreadable=True).select(F.col("_metadata.file_path").alias("path")).distinct()
     silent = files.join(read, "path", "left_anti")
-    return silent.filter(F.col("path").isin([r["path"] for r in silent.collect() if not _readable(spark, r["path"])]))
-
-
-def _readable(spark: SparkSession, file: str) -> bool:
-    try:
-        return spark.read.parquet(file).limit(1).count() >= 0
-    except Exception:  # whatever a damaged file makes its reader say
-        return False
+    return silent.mapInArrow(run, "path string, bytes long, reason string")
 
 
 # -- scans that prune partitions ---------------------------------------------
@@ -105,17 +160,13 @@ def write_day(df: DataFrame, path: str, ds: str) -> None:
 
 
 def day_exists(spark: SparkSession, path: str, ds: str) -> bool:
-    return path_exists(spark, f"{path}/{PARTITION}={ds}")
-
-
-def _files(spark: SparkSession, path: str):
-    """Hadoop's path and file system of a path."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    day = f"{PARTITION}={ds}"
+    plain = any(n.endswith(".parquet") for n in commits.names_in(spark, f"{path}/{day}"))
+    return plain or path_exists(spark, f"{path}/{commits.FOLDER}/{day}")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    target, files = _files(spark, path)
+    target, files = files_at(spark, path)
     files.delete(target, True)
 
 
@@ -124,32 +175,47 @@ def publish_day(df: DataFrame | None, path: str, ds: str, min_rows: int = 0, tod
 
     ``no_input``: nothing upstream. ``history``: a current snapshot never stands
     in for a past day. ``kept``: too few rows, the partition of an earlier run
-    stays. Too few rows on the first run are an error. The plan runs once: rows are
-    written beside the table, counted there, and moved in or thrown away.
+    stays. Too few rows on the first run are an error. The plan runs once: rows go to an attempt of their own in the day's
+    folder and are counted there. One small commit file makes readers take it; nothing is moved, and what was there stays until
+    then, and one attempt longer, for readers that have begun. A job that breaks off leaves an attempt that nobody reads.
     """
     if today is not None and ds != today:
         return "history"
     if df is None:
         return "no_input"
-    spark, partition = df.sparkSession, f"{PARTITION}={ds}"
-    staging = f"{path}/_staging-{uuid.uuid4().hex}"
-    try:
-        df.hint("rebalance").write.parquet(f"{staging}/{partition}")
-        # Read off the files' footers.
-        rows = spark.read.schema(df.schema).parquet(f"{staging}/{partition}").count()
+    spark, day = df.sparkSession, f"{PARTITION}={ds}"
+    number = max([0, *_attempts(spark, f"{path}/{day}"), *_committed(spark, path).get(day, [])]) + 1
+    attempt = f"{path}/{day}/{ATTEMPT}{number:06d}"
+    df.hint("rebalance").write.parquet(attempt)
+    # Read off the files' footers.
+    rows = spark.read.schema(df.schema).parquet(attempt).count()
+    if not rows or rows < min_rows:
+        delete_path(spark, attempt)
         if not rows:
             return "no_input"
-        if rows < min_rows:
-            if day_exists(spark, path, ds):
-                return "kept"
-            raise ValueError(f"{rows} rows are fewer than {min_rows}")
-        delete_path(spark, f"{path}/{partition}")
-        source, files = _files(spark, f"{staging}/{partition}")
-        if not files.rename(source, _files(spark, f"{path}/{partition}")[0]):
-            raise OSError(f"{staging}/{partition} cannot be moved to {path}")
-        return "written"
-    finally:
-        delete_path(spark, staging)
+        if day_exists(spark, path, ds):
+            return "kept"
+        raise ValueError(f"{rows} rows are fewer than {min_rows}")
+    if not commits.put_new(spark, f"{path}/{commits.FOLDER}/{day}/{number:06d}.json", {"rows": rows}):
+        raise RuntimeError(f"another job has published {day} of {path}")
+    drop_attempts(spark, path, day)
+    return "written"
+
+
+def drop_attempts(spark: SparkSession, path: str, day: str, keep: int = 2) -> None:
+    """Remove a day's attempts but the last committed ones, and files of the day that lie beside attempts."""
+    committed = _committed(spark, path).get(day, [])
+    kept = set(committed[-keep:])
+    for n in committed[:-keep]:
+        delete_path(spark, f"{path}/{commits.FOLDER}/{day}/{n:06d}.json")
+    for n in _attempts(spark, f"{path}/{day}"):
+        # An attempt after the last commit may be under way.
+        if n not in kept and n < committed[-1]:
+            delete_path(spark, f"{path}/{day}/{ATTEMPT}{n:06d}")
+    if len(committed) > 1:
+        for name in commits.names_in(spark, f"{path}/{day}"):
+            if name.endswith(".parquet"):
+                delete_path(spark, f"{path}/{day}/{name}")
 
 
 # -- caches that are read and replaced by one job --------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from indicatrix.operators import contract
 from indicatrix.operators.picks import pick_one
+from indicatrix.sources import commits
 
 # Stream settings.
 TRIGGER_SECONDS = 5
@@ -148,10 +150,26 @@ def metrics_sink(df: DataFrame, path: str, checkpoint: str, trigger: Trigger = T
     return trigger.apply(writer).start()
 
 
+def clock() -> str:
+    """Now, as text in UTC."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def arrival(spark: SparkSession, root: str, batch_id: int) -> Column:
+    """When a batch came in: noted by its first attempt and read by every other one."""
+    path = f"{root}/_arrivals/{batch_id:012d}.json"
+    noted = commits.get(spark, path)
+    if noted is None:
+        commits.put_new(spark, path, {"at": clock()})
+        noted = commits.get(spark, path)
+    return F.lit(datetime.strptime(noted["at"] + "+0000", "%Y-%m-%d %H:%M:%S.%f%z"))
+
+
 def fan_out_writer(root: str, ingest_ts: Column | None = None) -> Callable[[DataFrame, int], None]:
     """Good rows, rejected rows and metrics out of one read of a batch of parsed messages.
 
-    Rows lie below their day and batch, so readers prune by day and a replay replaces its own rows.
+    Rows lie below their day and batch, so readers prune by day and a replay replaces its own rows. All sinks of a batch, and all
+    attempts at it, go by one time of arrival, so a replay finds the same days. ``ingest_ts`` stands in for that time.
     """
 
     def put(df: DataFrame, part: str, *by: str) -> None:
@@ -159,11 +177,12 @@ def fan_out_writer(root: str, ingest_ts: Column | None = None) -> Callable[[Data
         writer.partitionBy(*by).parquet(f"{root}/{part}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        came = arrival(batch.sparkSession, root, batch_id) if ingest_ts is None else ingest_ts
         batch.persist()
         try:
             number = F.lit(batch_id).cast("bigint")
-            good = contract.good_events(batch, ingest_ts).withColumn("batch_id", number)
-            bad = contract.bad_events(batch, ingest_ts).withColumn("batch_id", number)
+            good = contract.good_events(batch, came).withColumn("batch_id", number)
+            bad = contract.bad_events(batch, came).withColumn("batch_id", number)
             put(good.withColumn("ds", F.to_date(_event_time(good))), "good", "ds", "batch_id")
             put(bad.withColumn("ds", F.to_date("ingest_ts")), "bad", "ds", "batch_id")
             put(batch_metrics(good).withColumn("batch_id", number), "metrics", "batch_id")

@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from indicatrix import schemas
 from indicatrix.operators import layers, picks, quality
-from indicatrix.sources import feeds, tables
+from indicatrix.sources import commits, feeds, tables
 from tests.conftest import rows
 
 NOW = F.lit("2024-02-01 00:00:00").cast("timestamp")
@@ -111,9 +113,51 @@ def test_publishing_rules(spark, table, tmp_path):
     assert tables.publish_day(some, path, "2024-01-01", 50) == "written"
     assert tables.publish_day(few, path, "2024-01-01", 50) == "kept"
     assert tables.publish_day(few, path, "2024-01-02") == "written"
-    before = rows(spark.read.parquet(path))
+    before = rows(tables.read_table(spark, path))
     assert tables.publish_day(some, path, "2024-01-01", 50) == "written"
-    assert rows(spark.read.parquet(path)) == before and len(before) == 61
+    assert rows(tables.read_table(spark, path)) == before and len(before) == 61
+    assert rows(tables.listed_days(tables.read_table(spark, path), ["2024-01-02"]), "x") == [(1,)]
+
+
+def test_publishing_that_breaks_off(spark, table, tmp_path, monkeypatch):
+    """Before the commit readers take the old day, after it the new one; there is no time between."""
+    path, schema = str(tmp_path / "t"), "x int, ingest_date date"
+    read = lambda: rows(tables.read_table(spark, path, spark.createDataFrame([], schema).schema), "x")
+
+    def broken(*args):
+        raise OSError("stopped here")
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "put_new", broken)
+        with pytest.raises(OSError):
+            tables.publish_day(table([(9,)], "x int"), path, "2024-01-01")
+    assert read() == [] and not tables.day_exists(spark, path, "2024-01-01")
+    assert tables.publish_day(table([(1,)], "x int"), path, "2024-01-01") == "written"
+    with monkeypatch.context() as m:
+        m.setattr(commits, "put_new", broken)
+        with pytest.raises(OSError):
+            tables.publish_day(table([(2,), (3,)], "x int"), path, "2024-01-01")
+    assert read() == [(1,)]
+    old = tables.read_table(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "drop_attempts", broken)
+        with pytest.raises(OSError):
+            tables.publish_day(table([(4,)], "x int"), path, "2024-01-01")
+    assert read() == [(4,)] and rows(old, "x") == [(1,)]
+    for n in (5, 6):
+        assert tables.publish_day(table([(n,)], "x int"), path, "2024-01-01") == "written"
+    assert read() == [(6,)]
+    assert len([n for n in os.listdir(f"{path}/ingest_date=2024-01-01") if n.startswith("attempt-")]) == 2
+
+
+def test_days_of_both_kinds(spark, table, tmp_path):
+    """Days written in place are read beside published ones, and replaced by them."""
+    path = str(tmp_path / "t")
+    for day in ("2024-01-01", "2024-01-02"):
+        tables.write_day(table([(day,)], "x string"), path, day)
+    assert tables.day_exists(spark, path, "2024-01-02")
+    assert tables.publish_day(table([("new",)], "x string"), path, "2024-01-02") == "written"
+    assert rows(tables.read_table(spark, path).select("x", F.col("ingest_date").cast("string"))) == [("2024-01-01", "2024-01-01"), ("new", "2024-01-02")]
 
 
 def test_scans_prune_partitions(spark, table, tmp_path):
@@ -135,7 +179,11 @@ def test_unreadable_files_are_skipped(spark, table, tmp_path):
     (path / "part=2" / "bad.parquet").write_bytes(b"PAR1 this is no table PAR1")
     schema = spark.createDataFrame([], "a int, b string, part int").schema
     assert rows(tables.read_table(spark, str(path), schema, skip_unreadable=True), "a", "b") == [(1, None), (2, "x")]
-    assert [r["path"].rsplit("/", 1)[1] for r in tables.unreadable_files(spark, str(path), schema).collect()] == ["bad.parquet"]
+    table([], "a int, b string").write.parquet(str(path / "part=3"))
+    (path / "part=2" / "of few bytes.parquet").write_bytes(b"x")
+    found = {r["path"].rsplit("/", 1)[1]: (r["bytes"], r["reason"]) for r in tables.unreadable_files(spark, str(path), schema).collect()}
+    assert {name: size for name, (size, _) in found.items()} == {"bad.parquet": 26, "of%20few%20bytes.parquet": 1}
+    assert all(reason for _, reason in found.values())
     with pytest.raises(Exception):
         tables.read_table(spark, str(path), schema).collect()
     assert tables.read_table(spark, str(path / "absent"), schema).count() == 0

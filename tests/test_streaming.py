@@ -1,7 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from indicatrix.operators import contract
 from indicatrix.streaming import events
 from tests.conftest import rows
 
@@ -84,6 +86,29 @@ def test_fan_out_reads_once_and_validates(spark, tmp_path):
     assert rows(spark.read.parquet(f"{root}/metrics"), "rows", "p50") == [(2, 1.5)]
 
 
+def test_a_replay_across_midnight_finds_the_same_days(spark, tmp_path, monkeypatch):
+    """The first attempt breaks off after one sink, before midnight; the second one comes after it."""
+    texts = [message(1), message(2, "never"), "{broken"]
+    batch = contract.validate(spark.createDataFrame([(t,) for t in texts], "value string"))
+    root = str(tmp_path / "out")
+    write = events.fan_out_writer(root)
+    monkeypatch.setattr(events, "clock", lambda: "2024-01-01 23:59:59.900000")
+    real, calls = events.batch_metrics, []
+    monkeypatch.setattr(events, "batch_metrics", lambda df: calls.append(df) or (_ for _ in ()).throw(OSError("stopped here")))
+    with pytest.raises(OSError):
+        write(batch, 7)
+    monkeypatch.setattr(events, "batch_metrics", real)
+    monkeypatch.setattr(events, "clock", lambda: "2024-01-02 00:00:05.000000")
+    write(batch, 7)
+    write(batch, 7)
+    good, bad = (spark.read.parquet(f"{root}/{part}") for part in ("good", "bad"))
+    assert rows(good.select("id", F.col("ds").cast("string"))) == [("1", "2024-01-01"), ("2", "2024-01-01")]
+    assert rows(bad.select(F.col("ds").cast("string"), F.col("ingest_ts").cast("string"))) == [("2024-01-01", "2024-01-01 23:59:59.9")]
+    assert rows(spark.read.parquet(f"{root}/metrics"), "batch_id", "rows") == [(7, 2)]
+    write(batch.limit(1), 8)
+    assert rows(spark.read.parquet(f"{root}/good").filter("batch_id = 8").select(F.col("ingest_ts").cast("string"))) == [("2024-01-02 00:00:05",)]
+
+
 def test_event_stream_with_metrics(spark, tmp_path):
     land(tmp_path / "in", "a.txt", [message(1), "{broken"])
     paths = [str(tmp_path / n) for n in ("out", "dead", "metrics", "chk")]
