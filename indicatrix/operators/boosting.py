@@ -233,11 +233,11 @@ def leaf_value(sums: tuple[int, int, int], growth: Growth) -> float:
 def best_split(histogram: np.ndarray, sums: tuple[int, int, int], features: np.ndarray, binning: Binning, growth: Growth, allowed: np.ndarray):
     """(gain, feature, bin, sums of the left side) of the best split of a node, or None.
 
-    ``histogram`` has gradient, curvature and rows of the bins of a range of features, without the rows in the bin of zero. Of equal
-    gains the first feature and bin counts.
+    ``histogram`` has gradient, curvature and rows of the bins of some features in order, without the rows in the bin of zero. Of
+    equal gains the first feature and bin counts.
     """
-    starts = binning.first[features] - binning.first[features[0]]
     sizes = binning.first[features + 1] - binning.first[features]
+    starts = np.cumsum(sizes) - sizes
     histogram = histogram.copy()
     histogram[:, starts + binning.zero[features]] += np.array(sums)[:, None] - np.add.reduceat(histogram, starts, axis=1)
     total = np.cumsum(histogram, axis=1)
@@ -270,27 +270,29 @@ def local_splits(places, features, bins, g, h, sums, binning: Binning, growth: G
 
     Entries are sorted by feature. ``parent`` counts splits in the order of the list.
     """
-    # Bins that occur here, in order; others hold no rows but those of zero.
-    keys = binning.first[features] + bins
     n = len(g)
-    all_features = np.arange(binning.width)
 
-    def find(rows: np.ndarray, entries: np.ndarray, total: tuple[int, int, int]):
-        if total[2] < 2 * growth.least_rows:
+    def find(entries: np.ndarray, total: tuple[int, int, int]):
+        if total[2] < 2 * growth.least_rows or not len(entries):
             return None
-        key, row = keys[entries], places[entries]
-        size = int(binning.first[-1])
-        histogram = np.stack([np.bincount(key, w[row], size) if w is not None else np.bincount(key, minlength=size) for w in (g, h, None)]).astype(np.int64)
-        return best_split(histogram, total, all_features, binning, growth, allowed)
+        # A feature without entries has all rows in one bin.
+        own, row = features[entries], places[entries]
+        new = np.diff(own, prepend=-1) != 0
+        present = own[new]
+        sizes = binning.first[present + 1] - binning.first[present]
+        key = (np.cumsum(sizes) - sizes)[np.cumsum(new) - 1] + bins[entries]
+        size = int(sizes.sum())
+        histogram = np.stack([np.bincount(key, g[row], size), np.bincount(key, h[row], size), np.bincount(key, minlength=size)]).astype(np.int64)
+        return best_split(histogram, total, present, binning, growth, allowed)
 
     heap: list = []
 
     def push(parent: int, side: int, rows, entries, total) -> None:
-        found = find(rows, entries, total)
+        found = find(entries, total)
         if found:
             heapq.heappush(heap, (-found[0], 2 * (parent + 1) + side, parent, side, rows, entries, total, found))
 
-    push(-1, 0, np.arange(n), np.arange(len(keys)), sums)
+    push(-1, 0, np.arange(n), np.arange(len(features)), sums)
     out: list[tuple] = []
     inside = np.zeros(n, bool)
     while heap and len(out) < growth.leaves - 1:
