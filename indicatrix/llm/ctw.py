@@ -1,28 +1,30 @@
 """Code lengths of texts under context-tree weighting of bytes, beside a smoothed word model.
 
-A text is its UTF-8 bytes and an end sign. Each byte is eight binary decisions, and every decision has a context tree over
-the bytes before it, up to ``DEPTH`` of them. A node of the tree estimates its decision by Krichevsky-Trofimov, and weighs its own
-estimate against that of its longer contexts by what each would have paid for the training data; the mixture over all depths
-gives the probability. Contexts never seen defer to the next shorter one.
-
-Training counts byte strings of DEPTH + 1 over all training texts; within a task they are summed per batch before the
-shuffle. All weights follow from these counts, group by group of the last context byte. Scoring needs a table of the
-nodes, of at most ``MAX_NODES``: those with the largest counts, down to a power of two.
+A text is its UTF-8 bytes and an end sign, which is the byte 0. Each byte is eight binary decisions, and every decision has a
+context tree over the bytes before it, up to ``DEPTH`` of them. A node of the tree estimates its decision by Krichevsky-Trofimov, and
+weighs its own estimate against that of its longer contexts by what each would have paid for the training data; the mixture
+over all depths gives the probability. Contexts never seen defer to the next shorter one.
+
+A byte and its contexts are one *code*. Codes of all texts are counted, in training texts and in all; within a task they are summed
+per batch before the shuffle. They are dealt by their two nearest context bytes to parts of about ``PART_CODES`` codes: a part
+holds all longer contexts of its codes, so it works out their trees and, with the bounded table of the contexts of one byte and of
+none, the probability of each of its codes, once. No node is left out. Values of the codes met most often are sent to all
+tasks; others meet the texts by a join, as rare words do.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicatrix.llm.store import stored
+from indicatrix.llm.store import discard, stored
 from indicatrix.llm.words import Hasher, bounds, buffers, chunks
 
 DEPTH = 4
-MAX_NODES = 2_000_000
+PART_CODES = 300_000
+COMMON_CODES = 2_000_000
 COMMON_WORDS = 200_000
 END_WORD = 0  # the hash kept for the end of a text; no word has it
 LN10 = float(np.log(10))
@@ -52,18 +54,23 @@ def byte_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def byte_counts(texts: DataFrame) -> DataFrame:
+    """code, n and seen: how often codes occur in training texts and in all. ``texts`` has a text and whether it is a training text."""
+
     def run(batches):
         for batch in batches:
             data, offsets = buffers(batch.column(0))
-            seen, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            for _, _, part, cuts in chunks(data, offsets):
-                codes, n = np.unique(byte_codes(part, cuts)[0], return_counts=True)
+            learned = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            seen, counts = np.zeros(0, np.uint64), np.zeros((2, 0))
+            for first, last, part, cuts in chunks(data, offsets):
+                codes, n = byte_codes(part, cuts)
                 merged, place = np.unique(np.concatenate([seen, codes]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n]), len(merged)).astype(np.int64)
+                both = (np.repeat(learned[first:last], n), np.ones(len(codes), np.int64))
+                counts = np.stack([np.bincount(place, np.concatenate([old, new]), len(merged)) for old, new in zip(counts, both)])
                 seen = merged
-            yield pa.record_batch([pa.array(seen.view(np.int64)), pa.array(counts)], ["code", "n"])
+            yield pa.record_batch([pa.array(seen.view(np.int64)), *(pa.array(c.astype(np.int64)) for c in counts)], ["code", "n", "seen"])
 
-    return texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(run, "code long, n long, seen long")
+    return counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 def log_gamma(z: np.ndarray) -> np.ndarray:
@@ -90,131 +97,97 @@ def decisions(contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray):
     return nodes, np.bincount(place, n * (1 - one), len(nodes)), np.bincount(place, n * one, len(nodes))
 
 
-NODES = "depth int, node long, zeros double, ones double, log_ratio double, log_weighted double"
+def longer_contexts(codes: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Nodes of depth DEPTH to 2, each depth as (keys, zeros, ones, log_ratio, log_weighted), in order of keys.
 
+    ``log_ratio`` is a node's own probability of its data over that of its longer contexts.
+    """
+    out, below = [], None
+    for depth in range(DEPTH, 1, -1):
+        nodes, zeros, ones = decisions(codes >> 8 * (DEPTH + 1 - depth), codes & 255, n)
+        own = log_kt(zeros, ones)
+        if below is None:
+            ratio, weighted = np.zeros(len(nodes)), own
+        else:
+            split = np.bincount(np.searchsorted(nodes, shorter(below[0])), below[1], len(nodes))
+            ratio, weighted = own - split, np.logaddexp(own, split) - np.log(2)
+        below = nodes, weighted
+        out.append((nodes, zeros, ones, ratio, weighted))
+    return out
 
-def tree_nodes(counts: DataFrame) -> DataFrame:
-    """Nodes of depth 1 to DEPTH. ``log_ratio`` is the node's own probability of its data over that of its longer contexts.
 
-    A group holds the byte strings of one last byte: at most 256^DEPTH of them, whatever the input.
-    """
+def shorter(nodes: np.ndarray) -> np.ndarray:
+    """Keys of the nodes without their farthest context byte."""
+    return nodes >> 16 << 8 | nodes & 255
+
+
+def readable(zeros: np.ndarray, ones: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A node's estimate of a one, and the weight of that estimate against longer contexts."""
+    return (ones + 0.5) / (zeros + ones + 1), 1 / (1 + np.exp(-np.clip(ratio, -60, 60)))
 
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        codes, n = group["code"].to_numpy(), group["n"].to_numpy()
-        out, below = [], None
-        for depth in range(DEPTH, 0, -1):
-            nodes, zeros, ones = decisions(codes >> 8 * (DEPTH + 1 - depth), codes & 255, n)
-            own = log_kt(zeros, ones)
-            if below is None:
-                ratio, weighted = np.zeros(len(nodes)), own
-            else:
-                parents = below[0] >> 16 << 8 | below[0] & 255
-                split = np.bincount(np.searchsorted(nodes, parents), below[1], len(nodes))
-                ratio, weighted = own - split, np.logaddexp(own, split) - np.log(2)
-            below = nodes, weighted
-            out.append(pd.DataFrame({"depth": np.int32(depth), "node": nodes, "zeros": zeros, "ones": ones, "log_ratio": ratio, "log_weighted": weighted}))
-        return pd.concat(out)
-
-    last = F.shiftright("code", 8 * DEPTH).alias("last")
-    return counts.groupBy(last).applyInPandas(build, NODES)
-
-
-class Tree:
-    """The nodes that scoring reads: sorted keys (depth, context, decision), the estimate of a one, and the node's own weight."""
-
-    def __init__(self, table: pd.DataFrame):
-        table = table.sort_values("key")
-        self.keys, self.one, self.own = (table[c].to_numpy() for c in ("key", "one", "own"))
-
-    def log10(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of the byte of each code in its context; codes are fastest in ascending order."""
-        codes = codes.astype(np.int64)
-        total, symbols = np.zeros(len(codes)), codes & 255
-        for j in range(8):
-            decision = np.int64(1 << j) | symbols >> 8 - j
-            p, known = np.full(len(codes), 0.5), np.zeros(len(codes), bool)
-            for depth in range(DEPTH, -1, -1):
-                key = np.int64(depth << 48) | codes >> 8 * (DEPTH + 1 - depth) << 8 | decision
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                found = self.keys[at] == key
-                own = np.where(known, self.own[at], 1.0)
-                p = np.where(found, own * self.one[at] + (1 - own) * p, p)
-                known |= found
-            total += np.log(np.where(symbols >> 7 - j & 1, p, 1 - p))
-        return total / LN10
-
-
-def grown_tree(texts: DataFrame) -> Tree | None:
-    """The tree of all training texts; None without any."""
-    nodes = stored(tree_nodes(stored(byte_counts(texts), "byte-counts")), "tree-nodes")
-    total = F.col("zeros") + F.col("ones")
-    level = F.floor(F.log2(total)).cast("int")
-    sizes = {r["level"]: r["count"] for r in nodes.groupBy(level.alias("level")).count().collect()}
-    if not sizes:
-        return None
-    least, kept = max(sizes), 0
+
+def log10_of(codes: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 probability of the byte of each code in its context; ``tables`` has keys, estimates and weights by depth from DEPTH to 0."""
+    total, symbols = np.zeros(len(codes)), codes & 255
+    for j in range(8):
+        decision = np.int64(1 << j) | symbols >> 8 - j
+        p, known = np.full(len(codes), 0.5), np.zeros(len(codes), bool)
+        for depth, (keys, one, own) in zip(range(DEPTH, -1, -1), tables):
+            if not len(keys):
+                continue
+            key = codes >> 8 * (DEPTH + 1 - depth) << 8 | decision
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            found = keys[at] == key
+            weight = np.where(known, own[at], 1.0)
+            p = np.where(found, weight * one[at] + (1 - weight) * p, p)
+            known |= found
+        total += np.log(np.where(symbols >> 7 - j & 1, p, 1 - p))
+    return total / LN10
+
+
+def code_values(counts: DataFrame) -> DataFrame:
+    """code, value and seen of all counted codes; value is the log10 probability."""
+    parts = max(1, -(-counts.count() // PART_CODES))
+    dealt = counts.withColumn("part", F.pmod(F.xxhash64(F.shiftright("code", 8 * (DEPTH - 1))), F.lit(parts)))
+
+    def sums(table):
+        codes, n = (table.column(c).to_numpy() for c in ("code", "n"))
+        nodes, zeros, ones, _, weighted = longer_contexts(codes, n)[-1]
+        keys, place = np.unique(shorter(nodes), return_inverse=True)
+        return pa.table({"node": keys, **{c: np.bincount(place, v, len(keys)) for c, v in (("zeros", zeros), ("ones", ones), ("split", weighted))}})
+
+    learned = dealt.where("n > 0").groupBy("part").applyInArrow(sums, "node long, zeros double, ones double, split double")
+    # At most 255 nodes for each byte.
+    short = learned.groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("split").alias("split")).orderBy("node").toPandas()
+    keys, zeros, ones, split = (short[c].to_numpy() for c in ("node", "zeros", "ones", "split"))
+    own = log_kt(zeros, ones)
+    none, place = np.unique(keys & 255, return_inverse=True)
+    zeros_0, ones_0, split_0 = (np.bincount(place, v, len(none)) for v in (zeros, ones, np.logaddexp(own, split) - np.log(2)))
+    top = [(keys, *readable(zeros, ones, own - split)), (none, *readable(zeros_0, ones_0, log_kt(zeros_0, ones_0) - split_0))]
+
+    def values(table):
+        codes, n = (table.column(c).to_numpy() for c in ("code", "n"))
+        order = np.argsort(codes)
+        longer = longer_contexts(codes[n > 0], n[n > 0])
+        tables = [(nodes, *readable(zeros, ones, ratio)) for nodes, zeros, ones, ratio, _ in longer]
+        return pa.table({"code": codes[order], "value": log10_of(codes[order], [*tables, *top]), "seen": table.column("seen").to_numpy()[order]})
+
+    return dealt.groupBy("part").applyInArrow(values, "code long, value double, seen long")
+
+
+def common_codes(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes met most often and their values, COMMON_CODES at most, down to a power of two."""
+    level = F.floor(F.log2("seen")).cast("int")
+    sizes = {r["level"]: r["count"] for r in values.groupBy(level.alias("level")).count().collect()}
+    least, kept = max(sizes, default=0) + 1, 0
     for step in sorted(sizes, reverse=True):
-        if kept + sizes[step] > MAX_NODES:
+        if kept + sizes[step] > COMMON_CODES:
             break
         least, kept = step, kept + sizes[step]
-    root = nodes.where("depth = 1").groupBy((F.col("node") % 256).alias("node"))
-    root = root.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_weighted").alias("split")).toPandas()
-    ratio = log_kt(root["zeros"].to_numpy(), root["ones"].to_numpy()) - root["split"].to_numpy()
-    top = pd.DataFrame({"key": root["node"], "one": (root["ones"] + 0.5) / (root["zeros"] + root["ones"] + 1), "own": 1 / (1 + np.exp(-np.clip(ratio, -60, 60)))})
-    bounded = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.col("log_ratio")))
-    table = nodes.where(level >= least).select(
-        (F.shiftleft(F.col("depth").cast("long"), 48).bitwiseOR(F.col("node"))).alias("key"),
-        ((F.col("ones") + 0.5) / (total + 1)).cast("float").alias("one"),
-        (1 / (1 + F.exp(-bounded))).cast("float").alias("own"),
-    )
-    return Tree(pd.concat([table.toPandas(), top.astype({"key": "int64", "one": "float32", "own": "float32"})]))
-
-
-class Known:
-    """Values already worked out, by code: an open-addressing table over numpy arrays."""
-
-    def __init__(self, bits: int = 20):
-        self._clear(bits)
-
-    def _clear(self, bits: int) -> None:
-        self.shift, self.size, self.n = np.uint64(64 - bits), 1 << bits, 0
-        self.keys, self.values = np.full(self.size, -1, np.int64), np.zeros(self.size)
-
-    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values, and which codes are not in the table."""
-        slots = (codes * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-        keys = self.keys[slots]
-        values = self.values[slots]
-        open_ = np.flatnonzero(keys != codes.view(np.int64))
-        missing = np.zeros(len(codes), bool)
-        while len(open_):
-            empty = keys[open_] == -1
-            missing[open_[empty]] = True
-            open_ = open_[~empty]
-            slots[open_] = (slots[open_] + 1) & (self.size - 1)
-            keys[open_] = self.keys[slots[open_]]
-            values[open_] = self.values[slots[open_]]
-            open_ = open_[keys[open_] != codes[open_].view(np.int64)]
-        return values, missing
-
-    def add(self, codes: np.ndarray, values: np.ndarray) -> None:
-        """Distinct codes that are not in the table; it doubles before it is half full."""
-        if 2 * (self.n + len(codes)) > self.size:
-            used = self.keys != -1
-            keys, old = self.keys[used], self.values[used]
-            bits = int(np.ceil(np.log2(4 * (len(keys) + len(codes)))))
-            self._clear(bits)
-            codes, values = np.concatenate([keys.view(np.uint64), codes]), np.concatenate([old, values])
-        self.n += len(codes)
-        slots = (codes * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-        todo = np.arange(len(codes))
-        while len(todo):
-            free = todo[self.keys[slots[todo]] == -1]
-            self.keys[slots[free]] = codes[free].view(np.int64)  # of several, the last stays
-            won = free[self.keys[slots[free]] == codes[free].view(np.int64)]
-            self.values[slots[won]] = values[won]
-            todo = np.setdiff1d(todo, won, assume_unique=True)
-            slots[todo] = (slots[todo] + 1) & (self.size - 1)
+    table = values.where(level >= least).select("code", "value").toArrow()
+    codes = table.column("code").to_numpy()
+    order = np.argsort(codes)
+    return codes[order], table.column("value").to_numpy()[order]
 
 
 # The word model.
@@ -252,21 +225,31 @@ def common_words(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table["word"].to_numpy(np.int64), table["c"].to_numpy(np.int64)
 
 
-SCORED = "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word:bigint,n:bigint>>"
+SCORED = """row long, doc_id long, n_tokens long, n_known long, n_bytes long, base double, score double,
+  rare array<struct<word:bigint,n:bigint>>, rare_codes array<struct<code:bigint,n:bigint>>"""
 
 
-def score_rows(docs: DataFrame, tree: Tree | None, common, denominator: float) -> DataFrame:
-    """Per document the byte model's score, the word model's over common words, and counts of the other words."""
-    sent = docs.sparkSession.sparkContext.broadcast((tree, *common))
+def counted_lists(keys: np.ndarray, owner: np.ndarray, n: int, name: str) -> pa.ListArray:
+    """Distinct keys of each of n owners with how often they occur; owners ascend."""
+    order = np.lexsort((keys, owner))
+    k, t = keys[order], owner[order]
+    new = np.flatnonzero((np.diff(k, prepend=0) != 0) | (np.diff(t, prepend=-1) != 0))
+    times = np.diff(np.append(new, len(k)))
+    kind = [pa.field(name, pa.int64()), pa.field("n", pa.int64())]
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(t[new], np.arange(n + 1)), pa.int32()), pa.StructArray.from_arrays([pa.array(k[new]), pa.array(times)], fields=kind))
+
+
+def score_rows(docs: DataFrame, codes: tuple[np.ndarray, np.ndarray], common, denominator: float) -> DataFrame:
+    """Per document both models' scores over common codes and words, and counts of the others."""
+    model = docs.sparkSession.sparkContext.broadcast((*codes, *common))
 
     def run(batches):
         from pyspark import TaskContext
 
-        tree, words, counts = sent.value
-        hasher, known = Hasher(21, lower=True), Known()
+        codes, values, words, counts = model.value
+        hasher = Hasher(21, lower=True)
         row = TaskContext.get().partitionId() << 33
         logs = np.log10((counts + 1) / denominator)
-        kind = pa.struct([("word", pa.int64()), ("n", pa.int64())])
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             for first, last, part, cuts in chunks(data, offsets):
@@ -280,32 +263,21 @@ def score_rows(docs: DataFrame, tree: Tree | None, common, denominator: float) -
                 found = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
                 base = np.bincount(text[found], logs[at[found]], n).astype(float)
                 hits = np.bincount(text[found], minlength=n)
-                # Other words, counted per text.
-                order = np.lexsort((hashes[~found], text[~found]))
-                h, t = hashes[~found][order], text[~found][order]
-                new = np.flatnonzero((np.diff(h, prepend=0) != 0) | (np.diff(t, prepend=-1) != 0))
-                times = np.diff(np.append(new, len(h)))
-                edges = np.searchsorted(t[new], np.arange(n + 1))
-                rare = pa.ListArray.from_arrays(
-                    pa.array(edges, pa.int32()), pa.StructArray.from_arrays([pa.array(h[new]), pa.array(times)], fields=list(kind))
-                )
-                codes, per = byte_codes(part, cuts)
-                if tree is None:
-                    values = np.full(len(codes), -np.log10(256.0))
-                else:
-                    values, missing = known.find(codes)
-                    if missing.any():
-                        fresh, place = np.unique(codes[missing], return_inverse=True)
-                        worked = tree.log10(fresh)
-                        known.add(fresh, worked)
-                        values[missing] = worked[place]
-                score = np.add.reduceat(values, np.cumsum(per) - per)
+                rare = counted_lists(hashes[~found], text[~found], n, "word")
+                every, per = byte_codes(part, cuts)
+                own, place = np.unique(every.view(np.int64), return_inverse=True)
+                at = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
+                hit = codes[at] == own if len(codes) else np.zeros(len(own), bool)
+                worth = np.where(hit, values[at], 0.0) if len(codes) else np.zeros(len(own))
+                score = np.add.reduceat(worth[place], np.cumsum(per) - per)
+                left = np.flatnonzero(~hit[place])
+                rare_codes = counted_lists(own[place[left]], np.repeat(np.arange(n), per)[left], n, "code")
                 yield pa.record_batch(
                     [
-                        pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n), pa.array(tokens), pa.array(hits),
-                        pa.array(base), pa.array(score), rare,
+                        pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n), pa.array(tokens), pa.array(hits), pa.array(per - 1),
+                        pa.array(base), pa.array(score), rare, rare_codes,
                     ],
-                    ["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"],
+                    ["row", "doc_id", "n_tokens", "n_known", "n_bytes", "base", "score", "rare", "rare_codes"],
                 )
                 row += n
 
@@ -316,7 +288,7 @@ def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document.
 
     Both models learn from the documents that are not held out. ``score`` is the log10 probability of the bytes of the whole
-    text and its end; ``base_score`` that of its lower-cased words and end under add-one counts. Null and empty texts
+    text and its end, ``bits_per_byte`` its code length over their number; ``base_score`` that of its lower-cased words and end under add-one counts. Null and empty texts
     consist of their end; a null doc_id is not held out; repeated rows are rows of their own; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -324,7 +296,10 @@ def scores(docs: DataFrame) -> DataFrame:
     counts = stored(word_counts(training), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     denominator = float(total + distinct + 1)
-    rows = stored(score_rows(docs, grown_tree(training), common_words(counts), denominator), "scored-rows")
+    codes = stored(byte_counts(docs.select("text", (~held_out(F.col("doc_id"))).alias("training"))), "byte-counts")
+    values = stored(code_values(codes), "code-values")
+    rows = stored(score_rows(docs, common_codes(values), common_words(counts), denominator), "scored-rows")
+    discard(codes)
 
     # Words that are not common meet their counts by a join; sums go back to the rows.
     rare = rows.select("row", F.inline("rare")).join(counts, "word", "left")
@@ -332,7 +307,10 @@ def scores(docs: DataFrame) -> DataFrame:
     rare = rare.groupBy("row").agg(
         F.sum(F.col("n") * F.log10((c + 1) / F.lit(denominator))).alias("more"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("hits")
     )
-    joined = rows.drop("rare").join(stored(rare, "rare-words"), "row", "left")
+    others = rows.select("row", F.inline("rare_codes")).join(values.select("code", "value"), "code")
+    others = others.groupBy("row").agg(F.sum(F.col("n") * F.col("value")).alias("more_score"))
+    joined = rows.drop("rare", "rare_codes").join(stored(rare, "rare-words"), "row", "left").join(stored(others, "rare-codes"), "row", "left")
+    score = F.col("score") + F.coalesce("more_score", F.lit(0.0))
     return joined.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -340,5 +318,6 @@ def scores(docs: DataFrame) -> DataFrame:
         (F.col("n_known") + F.coalesce("hits", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        score.alias("score"),
+        (-score / F.lit(float(np.log10(2))) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )

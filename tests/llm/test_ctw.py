@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from indicatrix.llm import ctw
 from tests.llm.common import DOCS, ascii_lower, corpus, frame, words
@@ -85,8 +86,12 @@ def rows():
     return corpus(8, 25, 30, 25)
 
 
-def test_scores(spark, rows, monkeypatch):
+@pytest.mark.parametrize("common,part", [(0, 1000), (40, 10**6)])
+def test_scores(spark, rows, monkeypatch, common, part):
+    """With all values sent, some of them or none, in many parts and in one."""
     monkeypatch.setattr(ctw, "COMMON_WORDS", 12)
+    monkeypatch.setattr(ctw, "COMMON_CODES", common)
+    monkeypatch.setattr(ctw, "PART_CODES", part)
     got = sorted(ctw.scores(frame(spark, rows)).collect(), key=lambda r: r["doc_id"])
     counts, n = word_model(rows)
     tree = PlainTree([r[1] for r in rows if not is_held_out(r[0])])
@@ -97,35 +102,27 @@ def test_scores(spark, rows, monkeypatch):
         assert (g["n_tokens"], g["n_known"]) == (len(tokens), sum(t in counts for t in tokens))
         base = sum(math.log10((counts.get(t, 0) + 1) / (n + len(counts) + 1)) for t in tokens)
         assert g["base_score"] == pytest.approx(base, rel=1e-9, abs=1e-9)
-        assert g["score"] == pytest.approx(tree.log10(r[1]), rel=1e-4, abs=1e-3)
+        assert g["score"] == pytest.approx(tree.log10(r[1]), rel=1e-9, abs=1e-9)
+        bits = -tree.log10(r[1]) / math.log10(2) / (len((r[1] or "").encode()) + 1)
+        assert g["bits_per_byte"] == pytest.approx(bits)
 
 
 def test_probabilities_of_a_byte_sum_to_one(spark, rows):
-    df = spark.createDataFrame([(r[1],) for r in rows], "text string")
-    tree = ctw.grown_tree(df)
-    for context in (b"    ", b"aaaa", b"\0\0\0\0", b"zq\xff\x01"):
-        codes = np.array([int.from_bytes(context, "big") << 8 | s for s in range(256)], np.uint64)
-        assert (10 ** tree.log10(codes)).sum() == pytest.approx(1, abs=1e-5)
-
-
-def test_fewer_nodes_still_sum_to_one(spark, rows, monkeypatch):
-    monkeypatch.setattr(ctw, "MAX_NODES", 500)
-    tree = ctw.grown_tree(spark.createDataFrame([(r[1],) for r in rows], "text string"))
-    assert len(tree.keys) <= 500 + 255
-    codes = np.array([int.from_bytes(b"abab", "big") << 8 | s for s in range(256)], np.uint64)
-    assert (10 ** tree.log10(codes)).sum() == pytest.approx(1, abs=1e-5)
-
-
-def test_table_of_known_values():
-    rng = np.random.default_rng(1)
-    known, want = ctw.Known(6), {}
-    for _ in range(30):
-        codes = np.unique(rng.integers(0, 3000, 200).astype(np.uint64))
-        values, missing = known.find(codes)
-        assert missing.tolist() == [int(c) not in want for c in codes]
-        assert all(want[int(c)] == v for c, v, m in zip(codes, values, missing) if not m)
-        known.add(codes[missing], codes[missing].astype(float) * 2)
-        want.update({int(c): float(c) * 2 for c in codes})
+    """Over all bytes in contexts that occur, in part or not at all."""
+    texts = spark.createDataFrame([(r[1], True) for r in rows], "text string, training boolean")
+    contexts = (b"    ", b"aaaa", b"\0\0\0\0", b"zq\xff\x01")
+    codes = [(int.from_bytes(c, "big") << 8 | s, 0, 1) for c in contexts for s in range(256)]
+    asked = spark.createDataFrame(codes, "code long, n long, seen long")
+    counts = ctw.byte_counts(texts).unionByName(asked).groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    values = {r["code"]: r["value"] for r in ctw.code_values(counts).collect()}
+    for k in range(len(contexts)):
+        assert sum(10 ** values[c] for c, *_ in codes[256 * k : 256 * k + 256]) == pytest.approx(1, abs=1e-9)
+
+
+def test_counts_of_training_and_all_texts(spark):
+    counted = ctw.byte_counts(spark.createDataFrame([("ab", True), ("ab", False), (None, False)], "text string, training boolean")).collect()
+    got = {r["code"]: (r["n"], r["seen"]) for r in counted}
+    assert got == {97: (1, 2), 97 << 32 | 98: (1, 2), (98 << 32) | (97 << 24): (1, 2), 0: (0, 1)}
 
 
 def test_edges(spark):
