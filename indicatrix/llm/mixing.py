@@ -58,14 +58,18 @@ def seeded_order(doc_id: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
-def taken_words(sizes: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """Adds ``taken`` to rows of doc_id, source and size. ``plan`` has source, source_size and target, a row per source."""
-    keyed = sizes.withColumn("_order", seeded_order(F.col("doc_id"), seed)).withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS))
-    whole = F.least(F.floor(F.col("target") / F.greatest("source_size", F.lit(1))), F.col("source_size")).cast("long")
+def taken_words(sizes: DataFrame, plan: DataFrame, seed: int, totals_of: DataFrame | None = None) -> DataFrame:
+    """Adds ``taken`` to rows of doc_id, source and size. ``plan`` has source, source_size and target, a row per source.
+
+    ``totals_of`` holds the same rows without what else they carry. Only rows of a source's border bucket are shuffled.
+    """
+    ordered = lambda rows: rows.withColumn("_order", seeded_order(F.col("doc_id"), seed)).withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS))
+    keyed = ordered(sizes)
+    whole = F.floor(F.col("target") / F.greatest("source_size", F.lit(1))).cast("long")
     goals = plan.select(
         F.col("source").alias("_source"), "source_size", "target", whole.alias("whole"), (F.round("target").cast("long") - whole * F.col("source_size")).alias("goal")
     )
-    totals = keyed.groupBy("source", "_bucket").agg(F.sum("size").alias("n"))
+    totals = (keyed if totals_of is None else ordered(totals_of)).groupBy("source", "_bucket").agg(F.sum("size").alias("n"))
     until = Window.partitionBy("source").orderBy("_bucket")
     border = (
         totals.withColumn("before", F.sum("n").over(until) - F.col("n"))
@@ -94,20 +98,30 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     Null texts have size 0, a null source is one source, the last; a source without words has target 0. Repeated rows are
     documents of their own; of rows with one doc_id, source and size any may be at the border. Reruns agree.
     """
-    sizes = materialise(sized(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "size"), "sizes")
+    sizes = sizes_of(docs)
+    return taken_words(sizes, plan_of(sizes, weights, max_epochs, share), seed)
+
+
+def sizes_of(docs: DataFrame) -> DataFrame:
+    return materialise(sized(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "size"), "sizes")
+
+
+def plan_of(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int, share: float) -> DataFrame:
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = materialise(targets(repeating_weights(sources, weights), max_epochs, share), "mix-plan")
-    return taken_words(sizes, plan, seed)
-
-
-def mixed(docs: DataFrame, seed: int = 42) -> DataFrame:
-    """The documents that the mix takes words of, with size, target and taken; columns of these names are replaced."""
-    out = mix(docs, seed=seed)
-    per_id = out.groupBy("doc_id").agg(*(F.max(c).alias("_" + c) for c in ("size", "target", "taken")))
-    names = {"_id": F.col("doc_id")}
-    kept = per_id.where("_taken > 0").withColumns(names).drop("doc_id")
-    joined = docs.drop("size", "target", "taken").join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    return joined.drop("_id").withColumnsRenamed({"_size": "size", "_target": "target", "_taken": "taken"})
+    return materialise(targets(repeating_weights(sources, weights), max_epochs, share), "mix-plan")
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, share: float = 1.0, seed: int = 42) -> DataFrame:
+    """The documents that the mix takes words of, with size, target and taken; columns of these names are replaced.
+
+    Every row is judged by itself, also rows that share an id or are equal throughout. Rows carry their columns along, so
+    nothing is joined back.
+    """
+    sizes = sizes_of(docs)
+    carried = docs.select(F.struct("*").alias("_row"), "text", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"))
+    taken = taken_words(sized(carried).drop("text"), plan_of(sizes, weights, max_epochs, share), seed, sizes).where("taken > 0")
+    kept = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("size", "target", "taken")]
+    return taken.select(*kept, "size", "target", F.col("taken").cast("long").alias("taken"))
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

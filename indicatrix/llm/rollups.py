@@ -71,7 +71,11 @@ class Rollup:
 
     def committed(self, batch: str) -> bool:
         name = f"batch-{batch}"
-        return self._is_done(name) or any(name in self._names_in(n) for n in self._folders() if n.startswith("compact-"))
+        return self._is_done(name) or any(self._holds(n, name) for n in self._folders() if n.startswith("compact-"))
+
+    def _holds(self, folder: str, name: str) -> bool:
+        names = self.spark.read.schema("batch string").parquet(f"{self.path}/names-{folder}")
+        return not names.where(F.col("batch") == name).isEmpty()
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds a batch; False if one of that name is already in."""
@@ -108,11 +112,12 @@ SHORT = 40
 
 
 def token_totals(docs: DataFrame) -> DataFrame:
-    """The totals after a history over all documents: two tokenizers load, one is revised, short documents are retired.
+    """The totals of all documents by source, language and tokenizer version, after a history that ends with the whole table.
 
-    Tokenizers are words (version 1, then 2, which does not count table bars) and UTF-8 bytes. Version 2 is a revision of
-    the counts of documents with bars. Documents of under 40 characters are deleted. Each batch is committed twice, as after
-    a lost answer; the totals do not change. Null texts have no tokens.
+    Versions are words@1, words@2, which does not count table bars, and bytes@1 (UTF-8). Counts are loaded as an older run left
+    them, then revised to the true ones; documents of under 40 characters are deleted and inserted again. Each batch is
+    committed twice, as after a lost answer; the totals do not change. Null and empty texts are documents without tokens; rows
+    with null or repeated ids are documents of their own; other columns are ignored; an empty table has no totals.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     counted = materialise(
@@ -122,22 +127,30 @@ def token_totals(docs: DataFrame) -> DataFrame:
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"),
             F.regexp_count(text, F.lit(LONE_BAR)).cast("long").alias("bars"),
             F.octet_length(text).cast("long").alias("bytes"),
-            (F.length(text) < SHORT).alias("short"),
-        ),
+            F.length(text).cast("long").alias("letters"),
+        ).withColumn("short", F.col("letters") < SHORT),
         "token-counts",
     )
-
-    def changes(op, tokenizer, tokens, old=None, where=None):
-        rows = counted if where is None else counted.where(where)
-        return rows.select(
-            F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), F.expr(tokens).alias("tokens"), F.expr(old or "0").alias("old_tokens")
-        )
+    # The true count of each version, and the one it is loaded with.
+    true = {"words@1": "words", "words@2": "words - bars", "bytes@1": "bytes"}
+    stale = {"words@1": "words - bars", "words@2": "words", "bytes@1": "letters"}
+
+    def changes(op: str, tokens: dict[str, str], old: dict[str, str] | None = None, where: str = "true") -> DataFrame:
+        parts = [
+            counted.where(where).select(
+                F.lit(op).alias("op"), "source", "lang", F.lit(name).alias("tokenizer"), F.expr(count).alias("tokens"), F.expr(old[name] if old else "0").alias("old_tokens")
+            )
+            for name, count in tokens.items()
+        ]
+        changed = reduce(DataFrame.unionByName, parts)
+        return changed.where("tokens <> old_tokens") if old else changed
 
     rollup = Rollup(docs.sparkSession, scratch_dir(docs.sparkSession, "token-rollup"))
     batches = {
-        "load": changes("insert", "words", "words").unionByName(changes("insert", "bytes", "bytes")),
-        "revise": changes("revise", "words", "words - bars", "words", "bars > 0"),
-        "retire": changes("delete", "words", "words - bars", where="short").unionByName(changes("delete", "bytes", "bytes", where="short")),
+        "load": changes("insert", stale),
+        "revise": changes("revise", true, stale),
+        "retire": changes("delete", true, where="short"),
+        "return": changes("insert", true, where="short"),
     }
     for name, batch in batches.items():
         rollup.commit(name, batch)
@@ -147,10 +160,10 @@ def token_totals(docs: DataFrame) -> DataFrame:
 
 TOTALS_SQL = r"""
 WITH counted AS (
-  SELECT source, lang, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-    strlen(coalesce(text, '')) AS bytes FROM documents WHERE length(coalesce(text, '')) >= 40)
-SELECT source, lang, 'words' AS tokenizer, count(*) AS documents,
-  CAST(sum(len(words) - len(list_filter(words, lambda w: w = '|'))) AS BIGINT) AS tokens FROM counted GROUP BY ALL
+  SELECT source, lang, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, strlen(coalesce(text, '')) AS bytes FROM documents)
+SELECT source, lang, 'words@1' AS tokenizer, count(*) AS documents, CAST(sum(len(words)) AS BIGINT) AS tokens FROM counted GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'words@2', count(*), CAST(sum(len(list_filter(words, lambda w: w <> '|'))) AS BIGINT) FROM counted GROUP BY ALL
 UNION ALL
-SELECT source, lang, 'bytes' AS tokenizer, count(*) AS documents, CAST(sum(bytes) AS BIGINT) AS tokens FROM counted GROUP BY ALL
+SELECT source, lang, 'bytes@1', count(*), CAST(sum(bytes) AS BIGINT) FROM counted GROUP BY ALL
 """

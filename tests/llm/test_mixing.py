@@ -48,3 +48,29 @@ def test_reruns_agree_and_edges(spark):
     assert [(r["size"], r["target"], r["taken"]) for r in alone] == [(0, 0.0, 0)] * 2
     twice = mixing.mix_digest(frame(spark, rows + rows)).collect()
     assert len(twice) == 2 * len(rows)
+
+
+def test_sources_of_a_few_words(spark):
+    """A source of one word may be repeated as often as its target says."""
+    rows = [(1, "one", "", "z", 0), (2, "w " * 50, "", "a", 0), (3, "two words", "", "b", 0)]
+    check(spark, rows)
+    got = {r["doc_id"]: r["taken"] for r in mixing.mix_digest(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got[1] == 3 and got[3] == 6
+
+
+def test_mixed_judges_each_row(spark):
+    """Rows of one id in two sources, equal rows, and columns named like those in use."""
+    rows = [(2, "one", "", "A", 0), (2, "w " * 100, "", "B", 0), (2, "w " * 100, "", "B", 0), (5, "x y", "", None, 0), (None, "q " * 30, "", "A", 0), (6, None, "", "A", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    names = ["_row", "_order", "_bucket", "_id", "size", "taken", "border", "goal"]
+    docs = docs.selectExpr("*", *[f"'mine' AS `{n}`" for n in names])
+    got = mixing.mixed(docs).collect()
+    assert mixing.mixed(docs).columns == [*[c for c in docs.columns if c not in ("size", "taken")], "size", "target", "taken"]
+    assert all(r["size"] == len(words(r["text"])) and 0 < r["taken"] <= 3 * r["size"] and r["border"] == r["_row"] == "mine" for r in got)
+    want = {}
+    for r in mixing.mix(docs).collect():
+        want.setdefault((r["doc_id"], r["source"], r["size"]), []).append((r["target"], r["taken"]))
+    found = {}
+    for r in got:
+        found.setdefault((r["doc_id"], r["source"], r["size"]), []).append((r["target"], r["taken"]))
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(x for x in v if x[1]) for k, v in want.items() if any(t for _, t in v)}

@@ -9,8 +9,9 @@ import pytest
 import __spark_entry__ as entry
 import check_queries
 import corpus_pipeline
-from indicatrix.llm import decontaminate, queries, simhash
+from indicatrix.llm import decontaminate, queries
 from tests.llm.common import words
+from tests.llm.test_near_copies import brute as groups_of_all_pairs
 
 SF = "/root/testdata/sf0.01"
 
@@ -35,10 +36,11 @@ def test_order_and_columns(stages):
         assert after.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
 
 
-def test_near_duplicates_leave_one_of_each(spark, stages):
+def test_near_duplicates_leave_one_of_each(stages):
+    """Against all pairs: groups of texts whose five-word shingles have a similarity of 0.8 or more, the smallest id of each stays."""
     before, after = stages["near_duplicates"]
-    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(before).collect()}
-    assert ids(after) == sorted(set(groups.values()))
+    rows = sorted((r["doc_id"], r["text"]) for r in before.collect())
+    assert ids(after) == sorted({rows[i][0] for i in groups_of_all_pairs([t for _, t in rows])})
 
 
 def test_decontamination(spark, stages):
@@ -72,6 +74,24 @@ def test_mix(stages):
     assert all(abs(taken[s] - target[s]) <= 1 for s in taken)
 
 
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_odd_rows_and_names(spark, name, stage):
+    """Every stage: nulls in any column, repeated rows, a very long text, columns named like those in use, and no rows."""
+    plain = [(1, "a plain text of some words", "en", "a", 26), (1, "a plain text of some words", "en", "a", 26), (2, None, None, None, None), (2, "", "en", "b", 0)]
+    rows = [*plain, (None, "words without an id but five or more", "de", "a", 36), (3, "long text " * 60_000, "en", "b", 600_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    names = ["_row", "_score", "score", "matches", "spans", "base", "n_assign", "_key", "_id", "_text", "_body", "_tested", "root"]
+    docs = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    out = stage(spark, docs, SF)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    got = out.collect()
+    assert all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in got for n in names)
+    ids_ = sorted((r["doc_id"] or 0) for r in got)
+    assert ids_ == {"near_duplicates": [0, 1, 2, 3], "mixing": [0, 1, 1, 3]}.get(name, [0, 1, 1, 2, 2, 3]) or name == "mixing"
+    assert {r["text"] for r in got} <= {r[1] for r in rows}
+    assert stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_run(spark, stages):
     assert ids(corpus_pipeline.run(spark, SF)) == ids(stages["mixing"][1])
 
@@ -86,7 +106,7 @@ def test_queries_with_sql(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
 
 
 def test_native_operators_use_no_python():

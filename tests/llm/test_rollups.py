@@ -45,5 +45,9 @@ def test_unfinished_batch_does_not_count(spark):
 def test_history(spark):
     rows = [(1, "a | b " * 10, "en", "s", 0), (2, "short", "en", "s", 0), (3, None, None, None, 0), (4, "é" * 50, "fr", "s", 0), (4, "é" * 50, "fr", "s", 0)]
     got = {(r["source"], r["lang"], r["tokenizer"]): (r["documents"], r["tokens"]) for r in rollups.token_totals(frame(spark, rows)).collect()}
-    assert got == {("s", "en", "words"): (1, 20), ("s", "en", "bytes"): (1, 60), ("s", "fr", "words"): (2, 2), ("s", "fr", "bytes"): (2, 200)}
+    assert got == {
+        ("s", "en", "words@1"): (2, 31), ("s", "en", "words@2"): (2, 21), ("s", "en", "bytes@1"): (2, 65),
+        ("s", "fr", "words@1"): (2, 2), ("s", "fr", "words@2"): (2, 2), ("s", "fr", "bytes@1"): (2, 200),
+        (None, None, "words@1"): (1, 0), (None, None, "words@2"): (1, 0), (None, None, "bytes@1"): (1, 0),
+    }
     assert rollups.token_totals(spark.createDataFrame([], DOCS)).count() == 0
