@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from indicatrix.operators import contract
 from indicatrix.operators.picks import pick_one
+from indicatrix.session import scratch_dir
 from indicatrix.sources import commits
 
 # Stream settings.
@@ -117,13 +118,27 @@ def parquet_sink(
 
 
 def preview_sink(df: DataFrame, trigger: Trigger = Trigger(), memory_table: str | None = None) -> StreamingQuery:
-    """Rows on the console, or in a named memory table."""
-    writer = df.writeStream.outputMode("append")
-    if memory_table:
-        writer = writer.format("memory").queryName(memory_table)
-    else:
-        writer = writer.format("console").option("truncate", "false")
-    return trigger.apply(writer).start()
+    """The first rows of each batch on the console, or all rows in a named view of the session.
+
+    Spark's memory and console sinks bring every row to the driver. Here tasks write the rows below the scratch folder, by batch, so a
+    replay replaces its own; the view shows the batches that have ended.
+    """
+    if memory_table is None:
+        return trigger.apply(df.writeStream.foreachBatch(_shown)).start()
+    spark, root, schema = df.sparkSession, scratch_dir(df.sparkSession, "preview"), df.schema
+    spark.createDataFrame([], schema).createOrReplaceTempView(memory_table)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/rows/batch-{batch_id}")
+        spark.read.schema(schema).parquet(f"{root}/rows/*").createOrReplaceTempView(memory_table)
+
+    writer = df.writeStream.outputMode("append").queryName(memory_table).foreachBatch(write)
+    return trigger.apply(writer.option("checkpointLocation", f"{root}/checkpoint")).start()
+
+
+def _shown(batch: DataFrame, batch_id: int) -> None:
+    print(f"-- batch {batch_id}")
+    batch.show(20, truncate=False)
 
 
 def batch_metrics(batch: DataFrame) -> DataFrame:

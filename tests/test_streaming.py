@@ -156,6 +156,25 @@ def test_preview(spark, tmp_path):
     assert rows(spark.table("preview"), "id") == [("1",)]
 
 
+def test_preview_rows_stay_in_files(spark, tmp_path):
+    """All batches are in the view, which reads what tasks wrote; nothing is held by the driver."""
+    for i in range(3):
+        land(tmp_path / "in", f"{i}.txt", [message(i)])
+    good, _ = events.split(events.text_source(spark, str(tmp_path / "in"), files_per_trigger=1), ingest_ts=NOW)
+    run(events.preview_sink(good, ONCE, memory_table="preview_files"))
+    shown = spark.table("preview_files")
+    assert shown.columns == good.columns and rows(shown, "id") == [("0",), ("1",), ("2",)]
+    files = shown.inputFiles()
+    assert files and {f.rsplit("/", 2)[1] for f in files} == {"batch-0", "batch-1", "batch-2"}
+
+
+def test_preview_on_the_console(spark, tmp_path, capsys):
+    land(tmp_path / "in", "a.txt", [message(1)])
+    good, _ = events.split(events.text_source(spark, str(tmp_path / "in")), ingest_ts=NOW)
+    run(events.preview_sink(good, ONCE))
+    assert "-- batch 0" in capsys.readouterr().out
+
+
 def test_dedupe_keeps_bounded_state(spark, tmp_path):
     """Only the operator that drops old state is used."""
     good, _ = events.split(events.text_source(spark, str(tmp_path)), ingest_ts=NOW)
