@@ -96,18 +96,25 @@ def whois_rows(whois: DataFrame, now: Column) -> DataFrame:
 
 
 def feature_rows(
-    labels: DataFrame, dns: DataFrame, whois: DataFrame, now: Column, listed: DataFrame | None = None
+    labels: DataFrame,
+    dns: DataFrame,
+    whois: DataFrame,
+    now: Column,
+    listed: DataFrame | None = None,
+    addresses: DataFrame | None = None,
+    registrations: DataFrame | None = None,
 ) -> DataFrame:
     """Label, address and registration facts per registered domain.
 
     Every side is brought to one row per domain first, so no join multiplies
     rows or meets a hot key, and all sides share one partitioning. ``listed``
-    holds the domains on a threat list and adds ``is_in_misp``.
+    holds the domains on a threat list and adds ``is_in_misp``. A job that needs
+    the sides more than once passes what ``dns_summary`` and ``whois_rows`` gave.
     """
     rows = (
         label_rows(labels)
-        .join(dns_summary(dns), "registered_domain", "left")
-        .join(whois_rows(whois, now), "registered_domain", "left")
+        .join(dns_summary(dns) if addresses is None else addresses, "registered_domain", "left")
+        .join(whois_rows(whois, now) if registrations is None else registrations, "registered_domain", "left")
     )
     if listed is not None:
         rows = with_membership(rows, listed)

@@ -34,16 +34,20 @@ def assemble(rows: DataFrame) -> DataFrame:
 
 
 def scored_rows(
-    labels: DataFrame, dns: DataFrame, whois: DataFrame, attrs: DataFrame, now: Column
+    labels: DataFrame,
+    dns: DataFrame,
+    whois: DataFrame,
+    attrs: DataFrame,
+    now: Column,
+    addresses: DataFrame | None = None,
+    registrations: DataFrame | None = None,
+    listed: DataFrame | None = None,
 ) -> DataFrame:
-    """Feature rows with list matches, ready for scoring."""
-    addresses = matches.dns_summary_with_overlap(dns, matches.listed_ips(attrs))
-    rows = (
-        features.label_rows(labels)
-        .join(addresses, "registered_domain", "left")
-        .join(features.whois_rows(whois, now), "registered_domain", "left")
-    )
-    return matches.with_matches(rows, matches.listed_domains(attrs))
+    """Feature rows with list matches, ready for scoring. A job that needs the sides more than once passes them."""
+    if addresses is None:
+        addresses = matches.dns_summary_with_overlap(dns, matches.listed_ips(attrs))
+    rows = features.feature_rows(labels, dns, whois, now, addresses=addresses, registrations=registrations)
+    return matches.with_matches(rows, matches.listed_domains(attrs) if listed is None else listed)
 
 
 def top_threats(threats: DataFrame, n: int = TOP_THREATS) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicatrix.functions.buckets import risk_level
-from indicatrix.operators import features, gold, layers, metrics, models
+from indicatrix.operators import features, gold, layers, matches, metrics, models
 from indicatrix.plans.lookup_queries import feature_rows, listed
 from indicatrix.plans.registry import query
 from indicatrix.plans.standins import Tables, now
@@ -152,8 +152,12 @@ def k14_model_comparison(t: Tables):
 def _fitted(t: Tables, estimator_of, full: bool = True) -> tuple[PipelineModel, DataFrame]:
     """A model of full width out of the training rows, and all rows."""
     rows = training_rows(t)
+    return _trained(rows, estimator_of, full), rows
+
+
+def _trained(rows: DataFrame, estimator_of, full: bool = True) -> PipelineModel:
     train = rows.filter(~F.col("is_test"))
-    return models.train(train, estimator_of(train.count()), SPEC, full), rows
+    return models.train(train, estimator_of(train.count()), SPEC, full)
 
 
 def _weighted_scores(model: PipelineModel, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -246,8 +250,16 @@ def a21_model_metadata(t: Tables):
 
 def _threats(t: Tables) -> tuple[DataFrame, DataFrame]:
     """All domains with their scores, and the threat table out of them."""
-    model, _ = _fitted(t, models.logistic)
-    rows = gold.scored_rows(t.labels_rd, t.dns_geo, t.whois, t.misp_attr, now())
+    # Training and scoring read the same sides; each is worked out once and stored.
+    addresses = materialise(matches.dns_summary_with_overlap(t.dns_geo, matches.listed_ips(t.misp_attr)), "addresses")
+    registrations = materialise(features.whois_rows(t.whois, now()), "registrations")
+    names = materialise(listed(t), "listed-domains")
+    known = features.feature_rows(
+        layers.binary_labels(t.labels_rd), t.dns_geo, t.whois, now(), addresses=addresses.drop("matched_misp_ip"), registrations=registrations
+    )
+    training = models.training_table(features.with_membership(known, names))
+    model = _trained(training, models.logistic)
+    rows = gold.scored_rows(t.labels_rd, t.dns_geo, t.whois, t.misp_attr, now(), addresses, registrations, names)
     scored = materialise(models.score(model, rows, SPEC), "scored")
     return scored, gold.assemble(scored)
 
