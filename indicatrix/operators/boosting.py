@@ -265,52 +265,58 @@ def columns_of(growth: Growth, number: int, width: int) -> np.ndarray:
     return chosen
 
 
+def counted(key: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.ndarray, size: int) -> np.ndarray:
+    """Gradient, curvature and rows of each of ``size`` bins; g and h are whole numbers as doubles."""
+    return np.stack([np.bincount(key, g[rows], size), np.bincount(key, h[rows], size), np.bincount(key, minlength=size)]).astype(np.int64)
+
+
 def local_splits(places, features, bins, g, h, sums, binning: Binning, growth: Growth, allowed: np.ndarray) -> list[tuple]:
     """Best-first splits below a node whose rows are all here: (parent, side, gain, feature, bin, left sums); parent -1 is the node itself.
 
-    Entries are sorted by feature. ``parent`` counts splits in the order of the list.
+    Entries are sorted by feature. ``parent`` counts splits in the order of the list. Of two children the one with fewer
+    entries is counted, the other is what is left of the histogram above.
     """
     n = len(g)
-
-    def find(entries: np.ndarray, total: tuple[int, int, int]):
-        if total[2] < 2 * growth.least_rows or not len(entries):
-            return None
-        # A feature without entries has all rows in one bin.
-        own, row = features[entries], places[entries]
-        new = np.diff(own, prepend=-1) != 0
-        present = own[new]
-        sizes = binning.first[present + 1] - binning.first[present]
-        key = (np.cumsum(sizes) - sizes)[np.cumsum(new) - 1] + bins[entries]
-        size = int(sizes.sum())
-        histogram = np.stack([np.bincount(key, g[row], size), np.bincount(key, h[row], size), np.bincount(key, minlength=size)]).astype(np.int64)
-        return best_split(histogram, total, present, binning, growth, allowed)
+    g, h = g.astype(np.float64), h.astype(np.float64)
+    # A feature without entries has all rows in one bin.
+    present, own = np.unique(features, return_inverse=True)
+    sizes = binning.first[present + 1] - binning.first[present]
+    key, size = (np.cumsum(sizes) - sizes)[own] + bins, int(sizes.sum())
 
     heap: list = []
 
-    def push(parent: int, side: int, rows, entries, total) -> None:
-        found = find(entries, total)
+    def push(parent: int, side: int, rows, entries, total, histogram) -> None:
+        if total[2] < 2 * growth.least_rows or not len(entries):
+            return
+        found = best_split(histogram, total, present, binning, growth, allowed)
         if found:
-            heapq.heappush(heap, (-found[0], 2 * (parent + 1) + side, parent, side, rows, entries, total, found))
+            heapq.heappush(heap, (-found[0], 2 * (parent + 1) + side, parent, side, rows, entries, total, found, histogram))
 
-    push(-1, 0, np.arange(n), np.arange(len(features)), sums)
+    push(-1, 0, np.arange(n), np.arange(len(features)), sums, counted(key, places, g, h, size))
     out: list[tuple] = []
     inside = np.zeros(n, bool)
     while heap and len(out) < growth.leaves - 1:
-        *_, parent, side, rows, entries, total, found = heapq.heappop(heap)
+        *_, parent, side, rows, entries, total, found, histogram = heapq.heappop(heap)
         gain, feature, bin_, left_sums = found
         number = len(out)
         out.append((parent, side, gain, feature, bin_, left_sums))
-        mine = entries[features[entries] == feature]
+        if len(out) == growth.leaves - 1:
+            break
+        low, high = np.searchsorted(features, [feature, feature + 1])
         value = np.full(n, binning.zero[feature], np.int64)
-        value[places[mine]] = bins[mine]
+        value[places[low:high]] = bins[low:high]
         go_left = value[rows] <= bin_
         left = rows[go_left]
         inside[left] = True
         in_left = inside[places[entries]]
         inside[left] = False
         right_sums = tuple(a - b for a, b in zip(total, left_sums))
-        push(number, 0, left, entries[in_left], left_sums)
-        push(number, 1, rows[~go_left], entries[~in_left], right_sums)
+        parts = [entries[in_left], entries[~in_left]]
+        fewer = int(len(parts[1]) < len(parts[0]))
+        below = counted(key[parts[fewer]], places[parts[fewer]], g, h, size)
+        both = [below, histogram - below] if fewer == 0 else [histogram - below, below]
+        push(number, 0, left, parts[0], left_sums, both[0])
+        push(number, 1, rows[~go_left], parts[1], right_sums, both[1])
     return out
 
 
@@ -400,9 +406,12 @@ def summed(blocks: DataFrame, asked: list[int], now: Pass) -> dict[int, tuple]:
                 mine = at >= 0
                 entry = np.flatnonzero(mine[block.places])
                 key = at[block.places[entry]] * size + binning.first[block.features[entry]] + block.bins[entry]
-                touched, key = np.unique(key, return_inverse=True)
+                # Sorting the bins of a block pays only where it touches few of them.
+                touched = slice(None)
+                if total.shape[1] > 4 * len(key):
+                    touched, key = np.unique(key, return_inverse=True)
+                total[:, touched] += counted(key, block.places[entry], g.astype(np.float64), h.astype(np.float64), total[0, touched].size)
                 for k, w in enumerate((g, h, np.ones(block.n, np.int64))):
-                    total[k, touched] += np.bincount(key, w[block.places[entry]], len(touched)).astype(np.int64)
                     sums[k] += np.bincount(at[mine], w[mine], len(asked)).astype(np.int64)
         for k, node in enumerate(asked):
             for chunk, (low, high) in enumerate(zip(cuts, cuts[1:])):
@@ -419,8 +428,8 @@ def summed(blocks: DataFrame, asked: list[int], now: Pass) -> dict[int, tuple]:
         return pa.table({"node": [node], "found": [json.dumps([sums, found])]})
 
     best: dict[int, tuple] = {}
-    counted = blocks.mapInArrow(count, "node long, chunk long, sums binary, part binary")
-    for row in counted.groupBy("node", "chunk").applyInArrow(choose, "node long, found string").collect():  # leaves * chunks rows
+    sent = blocks.mapInArrow(count, "node long, chunk long, sums binary, part binary")
+    for row in sent.groupBy("node", "chunk").applyInArrow(choose, "node long, found string").collect():  # leaves * chunks rows
         sums, found = json.loads(row["found"])
         before = best.get(row["node"], (tuple(sums), None))[1]
         if found and (before is None or (-found[0], *found[1:3]) < (-before[0], *before[1:3])):

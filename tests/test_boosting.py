@@ -154,3 +154,21 @@ def test_model_is_stored_and_loaded(spark, tmp_path):
     take = lambda m: [r["probability"][1] for r in m.transform(df).collect()]
     assert take(loaded) == take(model)
     assert boosting.LeafwiseClassifier().settings() == Growth()
+
+
+def test_one_child_of_two_is_counted(monkeypatch):
+    """Below a node, only the child with fewer entries is counted; the first split agrees with a count of each side."""
+    rng, n = np.random.default_rng(3), 2000
+    binning = boosting.Binning.of([np.array([0.0, 1.0, 2.0])] * 6)
+    bins = rng.integers(1, 4, 6 * n)
+    places, features = np.tile(np.arange(n), 6), np.repeat(np.arange(6), n)
+    g = np.rint((bins[:n] + rng.normal(0, 1, n) - 2) * UNIT).astype(np.int64)
+    h = np.full(n, UNIT // 4)
+    seen, count = [], boosting.counted
+    monkeypatch.setattr(boosting, "counted", lambda key, *more: seen.append(len(key)) or count(key, *more))
+    sums = (int(g.sum()), int(h.sum()), n)
+    found = boosting.local_splits(places, features, bins, g, h, sums, binning, Growth(leaves=8), np.ones(6, bool))
+    assert [p for p, *_ in found[:2]] == [-1, 0] and len(found) == 7
+    assert seen[0] == 6 * n and len(seen) == 7 and max(seen[1:]) <= 3 * n
+    side = bins[:n] <= found[0][4]
+    assert found[0][3] == 0 and found[0][5] == (int(g[side].sum()), int(h[side].sum()), int(side.sum()))
