@@ -21,6 +21,9 @@ SQL_SETTINGS = {
     # Rows may be large: a batch for Python ends at whichever limit comes first. It is held several times over, in the
     # executor and in its workers.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    # Spark keeps the list of files of every folder that was read, up to 250 MB of the driver, also of folders long deleted.
+    # Jobs here read many folders that they wrote themselves, each once or twice.
+    "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
     # Stream state on local disk, its changes in the checkpoint, some batches kept for a restart.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -10,6 +10,8 @@ import __spark_entry__ as entry
 import check_queries
 import corpus_pipeline
 from indicatrix.llm import decontaminate, queries
+from indicatrix.llm.store import discard, stored
+from indicatrix.session import configure
 from tests.llm.common import words
 from tests.llm.test_near_copies import brute as groups_of_all_pairs
 
@@ -122,3 +124,14 @@ def test_nothing_else_imports_the_subpackage():
     for path in root.rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert "llm" not in path.read_text(), path
+
+
+def test_lists_of_files_do_not_stay_in_the_driver(spark):
+    """Spark would keep those of every table that was read, also of deleted ones, as long as the session lasts."""
+    configure(spark)
+    cache = spark._jvm.org.apache.spark.sql.execution.datasources.FileStatusCache.getOrCreate(spark._jsparkSession)
+    table = stored(spark.range(10).repartition(3), "rows")
+    files = table.inputFiles()
+    assert table.count() == 10 and len(files) > 1
+    assert cache.getClass().getSimpleName() == "NoopCache$"
+    discard(table)
