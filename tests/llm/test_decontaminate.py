@@ -74,6 +74,82 @@ def test_candidates_recall(spark, case):
     assert len(pairs & truth) >= 0.9 * len(truth)
 
 
+def all_passages(docs, block, idf, hasher):
+    """A^T A over every passage of every document, by plain counting."""
+    place = {int(h): i for i, h in enumerate(block.vocabulary)}
+    out = np.zeros((len(place), len(place)))
+    for d in docs:
+        ws = ascii_lower(d[1] or "").encode().split()
+        data = np.frombuffer(b" ".join(ws), np.uint8)
+        ends = np.cumsum([len(w) + 1 for w in ws]) - 1
+        hashes = hasher.words(data, ends - [len(w) for w in ws], ends) if ws else []
+        index = [place.get(int(h), -1) for h in hashes]
+        last = max(0, -(-(len(index) - decontaminate.PASSAGE) // decontaminate.STRIDE)) if index else -1
+        for k in range(last + 1):
+            part = index[k * decontaminate.STRIDE :][: decontaminate.PASSAGE]
+            x = np.zeros(len(place))
+            for i in part:
+                if i >= 0:
+                    x[i] += idf[i]
+            x /= np.sqrt(sum(idf[i] ** 2 for i in part))
+            out += np.outer(x, x)
+    return out
+
+
+@pytest.mark.parametrize("weight, frequent, gathered", [(1e9, 2_048, 1 << 20), (1.0, 40, 100)])
+def test_basis_is_of_all_passages(spark, case, monkeypatch, weight, frequent, gathered):
+    """The latent directions are those of the items and of every passage, also behind a text's first; none is left out."""
+    docs, items, _ = case
+    hasher = Hasher(seed=7)
+    for name, value in (("RANK", 60), ("PASSAGE_WEIGHT", weight), ("FREQUENT", frequent), ("GATHERED", gathered), ("PIECE", 1000)):
+        monkeypatch.setattr(decontaminate, name, value, raising=False)
+    texts = [(d[0], ascii_lower(d[1] or ""), *d[2:]) for d in docs]
+    df = spark.createDataFrame(texts, DOCS)
+    block = decontaminate.Items([{"item_id": k, "text": t} for k, t, _ in items], hasher)
+    idf = decontaminate.idf_of(df.select("text"), block, hasher)
+    basis = decontaminate.latent_basis(df.select("text", "doc_id"), block, idf, hasher)
+    row, column, value = decontaminate.item_matrix(block, idf)
+    own = np.zeros((len(items), len(block.vocabulary)))
+    np.add.at(own, (row, column), value)
+    passages = all_passages(texts, block, idf, hasher)
+    full = own.T @ own + min(1.0, weight * (own**2).sum() / np.trace(passages)) * passages
+    # The same algorithm over the whole matrix, from the same random start.
+    found = np.random.default_rng(7).standard_normal((len(full), min(60 + decontaminate.OVERSAMPLE, len(full))))
+    for _ in range(2):
+        found, _ = np.linalg.qr(full @ found)
+    values, vectors = np.linalg.eigh(found.T @ full @ found)
+    found = found @ vectors[:, ::-1][:, :60]
+    assert np.allclose(np.abs(np.sum(found * basis, axis=0)), 1, atol=1e-6)
+
+
+def test_items_keep_their_directions(spark, monkeypatch):
+    """Passages that fill any space by themselves take none from the items: there are more directions than items."""
+    rng = random.Random(4)
+    items = [[f"w{40 * k + j}" for j in range(20)] for k in range(30)]
+    pool = [w for t in items for w in t]
+    docs = [(i, " ".join(rng.choice(pool) for _ in range(400)), "en", "s", 0) for i in range(150)]
+    monkeypatch.setattr(decontaminate, "RANK", 40)
+    hasher, df = Hasher(seed=7), spark.createDataFrame(docs, DOCS)
+    block = decontaminate.Items([{"item_id": k, "text": " ".join(t)} for k, t in enumerate(items)], hasher)
+    # Weights as of a corpus in which the words are rare.
+    idf = np.append(np.ones(len(block.vocabulary)), 1.0)
+    basis = decontaminate.latent_basis(df.select("text", "doc_id"), block, idf, hasher)
+    row, column, value = decontaminate.item_matrix(block, idf)
+    own = np.zeros((len(items), len(block.vocabulary)))
+    np.add.at(own, (row, column), value)
+    assert np.linalg.norm(own @ basis, axis=1).min() >= 0.95
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 3_000])
+def test_lookup(n):
+    rng = np.random.default_rng(n)
+    some = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+    for vocabulary in (some, np.unique(some >> np.uint64(50)), np.arange(n, dtype=np.uint64)):
+        place = {h: i for i, h in enumerate(vocabulary.tolist())}
+        asked = np.concatenate([vocabulary, vocabulary + np.uint64(1), rng.integers(0, 1 << 64, 500, dtype=np.uint64)])
+        assert decontaminate.Lookup(vocabulary)(asked).tolist() == [place.get(h, -1) for h in asked.tolist()]
+
+
 def test_clean_documents_stay(spark, case):
     docs, items, truth = case
     kept = decontaminate.clean(frame(spark, docs), spark.createDataFrame(items, ITEMS))
